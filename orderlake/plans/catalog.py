@@ -151,7 +151,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_id, 'residential' AS address_type,
   CAST(NULL AS FLOAT[]) AS geo_coordinates
 FROM ord""")
 def q_expand_struct(spark, sf_dir):
-    docs = L.documents(spark, sf_dir).select("orderId", F.col("shippingData.address")
+    docs = L.documents(spark, sf_dir).select(
+        "orderId", F.col("shippingData.address")
                                              .alias("address"))
     return snake_case_columns(FL.expand(docs, "address"))
 
@@ -298,7 +299,7 @@ for _name in ("orders", "totals", "items", "marketplace_items", "client_profile"
 # ---------------------------------------------------------------------------
 
 def _g1(spark, sf_dir):
-    return _silver(spark, sf_dir, *L.GOLD1_INPUTS)
+    return L.gold1_inputs(spark, sf_dir)
 
 
 @register("gold1_order_id_groups", O.gold1_sql(
@@ -390,8 +391,8 @@ def q_g1_cancel(spark, sf_dir):
 def q_g1_return_count(spark, sf_dir):
     s = _g1(spark, sf_dir)
     items_m = S.item_metrics(s["items"])
-    canc = S.cancellation_metrics(s["cancellation"])
-    return S.return_counts(items_m, canc).select("order_id", "product_id", "return_count")
+    return S.return_counts(items_m, s["cancellation"], s["items"]).select(
+        "order_id", "product_id", "return_count")
 
 
 @register("gold1_total_orders_per_customer", O.gold1_sql(
@@ -404,7 +405,7 @@ def q_g1_customers(spark, sf_dir):
 
 @register("order_summary", O.gold1_sql("SELECT * FROM summary"))
 def q_order_summary(spark, sf_dir):
-    return S.order_summary(_g1(spark, sf_dir))
+    return S.order_summary(_g1(spark, sf_dir), prepared=True)
 
 
 # ---------------------------------------------------------------------------

@@ -1,14 +1,16 @@
 """The medallion run: flat test tables -> bronze documents -> silver tables -> gold tables.
 
-Bronze documents are parsed once and stored as nested parquet; every silver table reads
-only its own sub-document from there (nested schema pruning reaches the parquet scan),
-and the silver tables are stored in turn, as the source pipeline stores them before the
-gold step reads them.  Stored layers live under the session's checkpoint folder
-(``spark.checkpoint.dir`` on a cluster), so a lost executor re-reads files instead of
+Bronze (the JSON text of each order document) is parsed once, keeping only the document
+fields some silver table reads (``orderlake.plans.silver.DOCUMENT_FIELDS``; the JSON
+parser skips every other subtree), and stored as nested parquet.  Each silver table
+then reads only its own sub-document from there (nested schema pruning reaches the
+parquet scan) and is stored in turn, as the source pipeline stores silver tables before
+the gold step reads them.  Stored layers live under the session's checkpoint folder
+(``spark.checkpoint.dir`` on a cluster): a lost executor re-reads files instead of
 re-running the JSON parse, and the planner knows each table's real size.
 
 Within one session the stored layers are reused: all queries over the same input folder
-share one bronze parse and one build of each silver table.
+share one parse and one build of each silver table.
 """
 
 from __future__ import annotations
@@ -18,37 +20,41 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.operators.metrics import materialize
-from orderlake.plans.silver import silver_table
+from orderlake.plans.silver import DOCUMENT_FIELDS, DOCUMENT_SKIP, silver_table
 from orderlake.sources.documents import bronze_from_dir
 from orderlake.sources.ingest import parse_documents
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _CACHE: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return spark.sparkContext.applicationId, sf_dir.rstrip("/")
+def _layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _CACHE.setdefault((spark.sparkContext.applicationId, sf_dir.rstrip("/")), {})
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows (lazy): one per order, the JSON document in ``orderDetails``."""
+    return bronze_from_dir(spark, sf_dir)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed order documents, one row per order (stored once per session and input)."""
-    key = _key(spark, sf_dir)
+    """Parsed documents, stored once per session and input folder."""
     with _LOCK:
-        layer = _CACHE.setdefault(key, {})
+        layer = _layer(spark, sf_dir)
         if "__documents__" not in layer:
-            docs = parse_documents(bronze_from_dir(spark, sf_dir))
+            docs = parse_documents(bronze(spark, sf_dir), fields=DOCUMENT_FIELDS,
+                                   skip=DOCUMENT_SKIP)
             layer["__documents__"] = materialize(docs, "documents")
         return layer["__documents__"]
 
 
 def silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A stored silver table (snake_case columns)."""
-    docs = documents(spark, sf_dir)
-    key = _key(spark, sf_dir)
     with _LOCK:
-        layer = _CACHE[key]
+        layer = _layer(spark, sf_dir)
         if name not in layer:
-            layer[name] = materialize(silver_table(docs, name), f"silver-{name}")
+            layer[name] = materialize(silver_table(documents(spark, sf_dir), name),
+                                      f"silver-{name}")
         return layer[name]
 
 
@@ -56,6 +62,16 @@ def silver_set(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataF
     return {n: silver(spark, sf_dir, n) for n in names}
 
 
+def gold1_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The order summary's inputs, deduplicated and stored once per session."""
+    from orderlake.plans.summary import prepare_inputs
+    with _LOCK:
+        layer = _layer(spark, sf_dir)
+        if "__gold1__" not in layer:
+            layer["__gold1__"] = prepare_inputs(silver_set(spark, sf_dir, *GOLD1_INPUTS))
+        return layer["__gold1__"]
+
+
 GOLD1_INPUTS = ("orders", "payment", "shipping_data", "items", "cancellation",
                 "client_profile")
 GOLD2_INPUTS = ("orders", "items", "client_profile")

@@ -290,6 +290,43 @@ BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+# Document fields each builder reads (top-level fields, nested subtrees it never reads).
+# Parsing only these is what keeps the JSON parse proportional to the table built.
+READS: dict[str, tuple[list[str], list[str]]] = {
+    "orders": (ORDER_COLUMNS, []),
+    "totals": (["orderId", "totals"], []),
+    "items": (["orderId", "items"], ["items.attachments", "items.components",
+                                     "items.bundleItems"]),
+    "marketplace_items": (["orderId", "marketplaceItems"], []),
+    "client_profile": (["orderId", "clientProfileData"], []),
+    "rates_and_benefits": (["ratesAndBenefitsData"], []),
+    "marketing": (["orderId", "marketingData"], []),
+    "shipping_data": (["orderId", "shippingData"],
+                      ["shippingData.selectedAddresses",
+                       "shippingData.logisticsInfo.slas.pickupStoreInfo",
+                       "shippingData.logisticsInfo.pickupStoreInfo"]),
+    "store_preferences": (["orderId", "storePreferencesData"], []),
+    "payment": (["orderId", "paymentData"], []),
+    "package_attachment": (["orderId", "packageAttachment"], []),
+    "sellers": (["orderId", "sellers"], []),
+    "item_metadata": (["orderId", "itemMetadata"], []),
+    "client_preferences": (["orderId", "clientPreferencesData"], []),
+    "cancellation": (["orderId", "cancellationData"], []),
+}
+
+
+# Everything any silver table reads: the one parse of the bronze text keeps only this.
+DOCUMENT_FIELDS = sorted({f for fields, _ in READS.values() for f in fields})
+DOCUMENT_SKIP = sorted({p for _, skip in READS.values() for p in skip})
+
+
 def silver_table(docs: DataFrame, name: str) -> DataFrame:
     """A silver table as stored: built, then every column name in snake_case."""
     return snake_case_columns(BUILDERS[name](docs))
+
+
+def silver_from_bronze(bronze: DataFrame, name: str) -> DataFrame:
+    """Parse only the document fields ``name`` needs, then build and snake-case it."""
+    from orderlake.sources.ingest import parse_documents
+    fields, skip = READS[name]
+    return silver_table(parse_documents(bronze, fields=fields, skip=skip), name)

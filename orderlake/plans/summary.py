@@ -1,8 +1,10 @@
 """Gold table 1: per-order summary (metrics M0-M18).
 
 Input: the stored silver tables (snake_case names) ``orders``, ``payment``,
-``shipping_data``, ``items``, ``cancellation``, ``client_profile``.  Each step returns a
-DataFrame so that every metric can be queried on its own; ``order_summary`` joins them.
+``shipping_data``, ``items``, ``cancellation``, ``client_profile``.  The source
+deduplicates every input except ``orders``; ``prepare_inputs`` does that once and stores
+the result, and the metric steps below take its output.  Each step returns a DataFrame so
+that every metric can be queried on its own; ``order_summary`` joins them.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from orderlake.functions.scalars import days_between, flag
 from orderlake.operators.joins import full_outer_chain
 from orderlake.operators.metrics import (add_global_metrics, add_group_metric,
                                          add_key_metrics, add_partition_metric,
-                                         attach_metrics, distinct_count_with_null)
+                                         attach_metrics, distinct_count_with_null,
+                                         materialize)
 
 # Output columns of the summary, in order.
 SUMMARY_COLUMNS = [
@@ -26,6 +29,22 @@ SUMMARY_COLUMNS = [
     "total_orders_per_channel", "total_sales_value_per_channel"]
 
 
+DEDUPLICATED = ("payment", "shipping_data", "items", "cancellation", "client_profile")
+
+
+def prepare_inputs(silver: dict[str, DataFrame], store: bool = True) -> dict[str, DataFrame]:
+    """Full-row dedupe of every input but orders (A9), each computed once.
+
+    Stored (``materialize``) by default: several metrics and the final join read the
+    same deduplicated table, and reading it back is cheaper than repeating the shuffle.
+    """
+    out = {"orders": silver["orders"]}
+    for name in DEDUPLICATED:
+        dedup = silver[name].dropDuplicates()
+        out[name] = materialize(dedup, f"gold1-{name}") if store else dedup
+    return out
+
+
 def order_id_groups(orders: DataFrame) -> DataFrame:
     """M0: number of order-id groups (null is a group) - the key check on orders."""
     return orders.agg(distinct_count_with_null("order_id").alias("order_id_groups"))
@@ -43,28 +62,28 @@ def order_metrics(orders: DataFrame) -> DataFrame:
 
 def payment_methods(payment: DataFrame) -> DataFrame:
     """M5: the distinct payment methods, null kept as a value."""
-    return payment.dropDuplicates().select("payment_system_name").distinct()
+    return payment.select("payment_system_name").distinct()
 
 
 def payment_metrics(payment: DataFrame) -> DataFrame:
     """M6-M7 on deduplicated payments: usage count (null method counted) and total value
     (null method gets null), from one aggregate."""
     return add_key_metrics(
-        payment.dropDuplicates(), "payment_system_name",
+        payment, "payment_system_name",
         window={"payment_method_usage_count": F.count("order_id")},
         joined={"payment_method_total_value": F.sum("value")})
 
 
 def shipping_metrics(shipping: DataFrame) -> DataFrame:
     """M8-M9: global average and total shipping price on every deduplicated row."""
-    return add_global_metrics(shipping.dropDuplicates(),
+    return add_global_metrics(shipping,
                               avg_shipping_cost=F.avg("price"),
                               total_shipping_cost=F.sum("price"))
 
 
 def item_metrics(items: DataFrame) -> DataFrame:
     """M10-M11 on deduplicated items: quantity sold per unique id, row sales value."""
-    out = add_group_metric(items.dropDuplicates(), "unique_id",
+    out = add_group_metric(items, "unique_id",
                            total_quantity_sold=F.sum("items_quantity"))
     return out.withColumn("total_sales_value",
                           F.col("items_quantity").cast("bigint")
@@ -73,33 +92,34 @@ def item_metrics(items: DataFrame) -> DataFrame:
 
 def cancellation_metrics(cancellation: DataFrame) -> DataFrame:
     """M12-M14 on deduplicated cancellations."""
-    out = cancellation.dropDuplicates().withColumn("cancel_reason", F.col("reason"))
+    out = cancellation.withColumn("cancel_reason", F.col("reason"))
     out = add_partition_metric(
         out, "reason",
         cancel_reason_count=F.count(F.when(F.col("reason").isNotNull(), F.col("order_id"))))
     return out.withColumn("is_return", flag(F.col("cancellation_date").isNotNull()))
 
 
-def return_counts(items_m: DataFrame, cancellation_m: DataFrame,
+def return_counts(items_m: DataFrame, cancellation: DataFrame, items: DataFrame,
                   only_returned: bool = False) -> DataFrame:
-    """Rows of cancellation x items per product id, joined back to the items.
+    """Rows of cancellation x items per product id, joined back to the item rows.
 
-    As in the source, every cancellation row counts, returned or not; pass
-    ``only_returned=True`` to count returned orders only.
+    ``items_m`` gets the column; the counts come from the deduplicated ``items`` and
+    ``cancellation`` tables (same rows, fewer columns).  As in the source, every
+    cancellation row counts, returned or not; pass ``only_returned=True`` to count
+    returned orders only.
     """
-    canc = cancellation_m.select("order_id", "is_return")
+    canc = cancellation.select("order_id", "cancellation_date")
     if only_returned:
-        canc = canc.where(F.col("is_return") == 1)
-    per_product = (canc.select("order_id").join(items_m.select("order_id", "product_id"),
+        canc = canc.where(F.col("cancellation_date").isNotNull())
+    per_product = (canc.select("order_id").join(items.select("order_id", "product_id"),
                                                 "order_id")
                    .groupBy("product_id").agg(F.count(F.lit(1)).alias("return_count")))
     return attach_metrics(items_m, per_product, "product_id")
 
 
-def customer_order_counts(orders_m: DataFrame, client_profile: DataFrame) -> DataFrame:
+def customer_order_counts(orders_m: DataFrame, profiles: DataFrame) -> DataFrame:
     """Orders per user profile (orders x deduplicated profiles), joined back to
     the profiles; repeat customer when more than one."""
-    profiles = client_profile.dropDuplicates()
     counted = (orders_m.select("order_id")
                .join(profiles.select("order_id", "user_profile_id"), "order_id")
                .where(F.col("user_profile_id").isNotNull())
@@ -110,16 +130,22 @@ def customer_order_counts(orders_m: DataFrame, client_profile: DataFrame) -> Dat
                           flag(F.col("total_orders_per_customer") > 1))
 
 
-def order_summary(silver: dict[str, DataFrame], only_returned: bool = False) -> DataFrame:
-    """Seven inputs full-outer-joined on order_id, 22 columns."""
-    orders_m = order_metrics(silver["orders"])
-    payment_m = payment_metrics(silver["payment"])
-    shipping_m = shipping_metrics(silver["shipping_data"])
-    items_m = item_metrics(silver["items"])
-    cancellation_m = cancellation_metrics(silver["cancellation"])
-    items_r = return_counts(items_m, cancellation_m, only_returned)
-    profiles = silver["client_profile"].dropDuplicates()
-    customers = customer_order_counts(orders_m, silver["client_profile"])
+def order_summary(silver: dict[str, DataFrame], only_returned: bool = False,
+                  prepared: bool = False) -> DataFrame:
+    """Seven inputs full-outer-joined on order_id, 22 columns.
+
+    ``silver`` holds the stored silver tables, or ``prepare_inputs`` output when
+    ``prepared``.  The join's key spine is read from the inputs' own key columns: the
+    metric steps keep every input row, so they do not change the set of keys.
+    """
+    g = silver if prepared else prepare_inputs(silver)
+    orders_m = order_metrics(g["orders"])
+    payment_m = payment_metrics(g["payment"])
+    shipping_m = shipping_metrics(g["shipping_data"])
+    items_m = item_metrics(g["items"])
+    cancellation_m = cancellation_metrics(g["cancellation"])
+    items_r = return_counts(items_m, g["cancellation"], g["items"], only_returned)
+    customers = customer_order_counts(g["orders"], g["client_profile"])
     parts = [
         orders_m.select("order_id", "fulfillment_time", "status", "order_status_count",
                         "sales_channel", "total_orders_per_channel",
@@ -131,7 +157,9 @@ def order_summary(silver: dict[str, DataFrame], only_returned: bool = False) ->
                        "return_count"),
         cancellation_m.select("order_id", "cancel_reason", "cancel_reason_count",
                               "is_return"),
-        profiles.select("order_id", "email"),
+        g["client_profile"].select("order_id", "email"),
         customers.select("order_id", "total_orders_per_customer", "is_repeat_customer"),
     ]
-    return full_outer_chain(parts, "order_id").select(*SUMMARY_COLUMNS)
+    key_sources = [g[n] for n in ("orders", "payment", "shipping_data", "items",
+                                  "cancellation", "client_profile")]
+    return full_outer_chain(parts, "order_id", key_sources).select(*SUMMARY_COLUMNS)

@@ -393,6 +393,10 @@ def _json_array(texts: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
 
 
+def orders_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def build_bronze(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per order with the JSON document in ``orderDetails``.
 
@@ -403,8 +407,12 @@ def build_bronze(tables: dict[str, DataFrame]) -> DataFrame:
     gathered arrays spliced in, built after the join, again in parallel.
     """
     c = _line_columns()
+    # An explicit partition count (the session's shuffle partitions, sized to the
+    # cluster) so that AQE does not coalesce these tasks: the input bytes are small next
+    # to the CPU work done per row (JSON text out, and the parse right after it).
+    parts = int(orders_partitions(tables["orders"]))
     per_order = (tables["lineitem"]
-                 .repartition("l_orderkey")
+                 .repartition(parts, "l_orderkey")
                  .select("l_orderkey",
                          F.to_json(_item(c)).alias("item"),
                          F.to_json(_logistics(c)).alias("logistics"),
@@ -417,7 +425,7 @@ def build_bronze(tables: dict[str, DataFrame]) -> DataFrame:
         tables["customer"], F.col("o_custkey") == F.col("c_custkey"), "left")
     # Sort-merge join on the order key: both sides are hash-partitioned on it already,
     # so neither is shuffled again nor broadcast (per-order items grow with the data).
-    docs = orders.repartition("o_orderkey").join(
+    docs = orders.repartition(parts, "o_orderkey").join(
         per_order.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     fields = _order_fields()
     shipping = fields.pop("shippingData")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
-from orderlake.sources.schema import BRONZE_DDL, ORDER_DOCUMENT_DDL
+from orderlake.sources.schema import BRONZE_DDL, ORDER_DOCUMENT_DDL, order_document_schema
 
 DOCUMENT_COLUMN = "orderDetails"
 
@@ -31,9 +32,48 @@ def parse_json_column(df: DataFrame, column: str, schema: str = ORDER_DOCUMENT_D
     return df.withColumn(column, F.from_json(F.col(column), schema, options or {}))
 
 
-def parse_documents(bronze: DataFrame, column: str = DOCUMENT_COLUMN) -> DataFrame:
-    """Bronze rows -> one row per document with the 53 document fields as columns."""
-    return parse_json_column(bronze, column).select(f"{column}.*")
+def _drop_paths(dtype: DataType, paths: set[tuple[str, ...]]) -> DataType:
+    if isinstance(dtype, ArrayType):
+        return ArrayType(_drop_paths(dtype.elementType, paths), dtype.containsNull)
+    if isinstance(dtype, MapType):
+        return MapType(dtype.keyType, _drop_paths(dtype.valueType, paths),
+                       dtype.valueContainsNull)
+    if isinstance(dtype, StructType):
+        fields = []
+        for f in dtype.fields:
+            if (f.name,) in paths:
+                continue
+            sub = {p[1:] for p in paths if len(p) > 1 and p[0] == f.name}
+            fields.append(StructField(f.name, _drop_paths(f.dataType, sub) if sub
+                                      else f.dataType, f.nullable))
+        return StructType(fields)
+    return dtype
+
+
+def document_schema(fields: list[str] | None = None,
+                    skip: list[str] | None = None) -> StructType:
+    """The document schema cut to the top-level ``fields`` a reader needs, minus nested
+    ``skip`` paths (``"items.components"``): the JSON parser then skips those subtrees
+    instead of building them, which is column pruning at the JSON source."""
+    schema = order_document_schema()
+    if fields is not None:
+        wanted = set(fields)
+        schema = StructType([f for f in schema.fields if f.name in wanted])
+    if skip:
+        schema = _drop_paths(schema, {tuple(p.split(".")) for p in skip})
+    return schema
+
+
+def parse_documents(bronze: DataFrame, column: str = DOCUMENT_COLUMN,
+                    fields: list[str] | None = None,
+                    skip: list[str] | None = None) -> DataFrame:
+    """Bronze rows -> one row per document, document fields as columns.
+
+    All 53 fields by default; with ``fields`` / ``skip`` only what a reader needs is
+    parsed (see ``document_schema``).
+    """
+    schema = document_schema(fields, skip) if (fields or skip) else ORDER_DOCUMENT_DDL
+    return bronze.select(F.from_json(F.col(column), schema).alias(column)).select(f"{column}.*")
 
 
 def write_bronze(bronze: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The source pipeline is batch only: it has no stream source or sink, no watermark and no
+stateful operator, so there is nothing to re-express with Structured Streaming here.
+Incremental loads are covered by the batch upsert in ``orderlake.sources.upsert``.
+"""
