@@ -33,16 +33,31 @@ def _as_list(keys: str | list[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+def materialize(df: DataFrame, label: str = "table",
+                bucket_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing the
     upstream plan) and gives the optimizer exact sizes for the join strategy.
+
+    With ``bucket_by`` the files are a bucketed table (as many buckets as the session's
+    shuffle partitions), registered in the catalog under a unique name: reading it back
+    gives a scan that is already hash-partitioned on those columns, so later joins,
+    deduplications and aggregates keyed by them need no shuffle.  When ``df`` is already
+    hash-partitioned on the same columns into that many partitions, each task writes a
+    single bucket file.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orderlake/{label}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    tag = uuid.uuid4().hex
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orderlake/{label}-{tag}"
+    if not bucket_by:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"orderlake_{label.replace('-', '_')}_{tag}"
+    (df.write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, *bucket_by).saveAsTable(name))
+    return spark.table(name)
 
 
 def attach_metrics(df: DataFrame, agg: DataFrame, keys: str | list[str],

@@ -44,7 +44,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         if "__documents__" not in layer:
             docs = parse_documents(bronze(spark, sf_dir), fields=DOCUMENT_FIELDS,
                                    skip=DOCUMENT_SKIP)
-            layer["__documents__"] = materialize(docs, "documents")
+            layer["__documents__"] = materialize(docs, "documents", bucket_by=["orderId"])
         return layer["__documents__"]
 
 
@@ -53,8 +53,9 @@ def silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     with _LOCK:
         layer = _layer(spark, sf_dir)
         if name not in layer:
-            layer[name] = materialize(silver_table(documents(spark, sf_dir), name),
-                                      f"silver-{name}")
+            table = silver_table(documents(spark, sf_dir), name)
+            keys = ["order_id"] if "order_id" in table.columns else None
+            layer[name] = materialize(table, f"silver-{name}", bucket_by=keys)
         return layer[name]
 
 

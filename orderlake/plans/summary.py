@@ -41,7 +41,8 @@ def prepare_inputs(silver: dict[str, DataFrame], store: bool = True) -> dict[str
     out = {"orders": silver["orders"]}
     for name in DEDUPLICATED:
         dedup = silver[name].dropDuplicates()
-        out[name] = materialize(dedup, f"gold1-{name}") if store else dedup
+        out[name] = (materialize(dedup, f"gold1-{name}", bucket_by=["order_id"])
+                     if store else dedup)
     return out
 
 

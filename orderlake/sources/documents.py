@@ -407,26 +407,31 @@ def build_bronze(tables: dict[str, DataFrame]) -> DataFrame:
     gathered arrays spliced in, built after the join, again in parallel.
     """
     c = _line_columns()
-    # An explicit partition count (the session's shuffle partitions, sized to the
-    # cluster) so that AQE does not coalesce these tasks: the input bytes are small next
-    # to the CPU work done per row (JSON text out, and the parse right after it).
-    parts = int(orders_partitions(tables["orders"]))
+    # Both sides are hash-partitioned on the order id text (the document's ``orderId``)
+    # into an explicit number of partitions, the session's shuffle partitions: the
+    # per-order aggregate and the sort-merge join reuse that partitioning, AQE does not
+    # coalesce these CPU-heavy tasks (JSON out, and the parse right after it), and the
+    # documents come out partitioned exactly as a table bucketed on ``orderId``.
+    parts = orders_partitions(tables["orders"])
     per_order = (tables["lineitem"]
-                 .repartition(parts, "l_orderkey")
-                 .select("l_orderkey",
+                 .withColumn("line_order_id", F.col("l_orderkey").cast("string"))
+                 .repartition(parts, "line_order_id")
+                 .select("line_order_id", "l_orderkey",
                          F.to_json(_item(c)).alias("item"),
                          F.to_json(_logistics(c)).alias("logistics"),
                          F.to_json(_metadata_item(c)).alias("metadata"))
-                 .groupBy("l_orderkey")
+                 .groupBy("line_order_id")
                  .agg(F.collect_list("item").alias("items"),
                       F.collect_list("logistics").alias("logistics"),
                       F.collect_list("metadata").alias("metadata")))
-    orders = tables["orders"].join(
-        tables["customer"], F.col("o_custkey") == F.col("c_custkey"), "left")
-    # Sort-merge join on the order key: both sides are hash-partitioned on it already,
-    # so neither is shuffled again nor broadcast (per-order items grow with the data).
-    docs = orders.repartition(parts, "o_orderkey").join(
-        per_order.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    orders = (tables["orders"]
+              .join(tables["customer"], F.col("o_custkey") == F.col("c_custkey"), "left")
+              .withColumn("order_id_text", F.col("o_orderkey").cast("string"))
+              .repartition(parts, "order_id_text"))
+    # Sort-merge join on the order id: both sides are partitioned on it already, so
+    # neither is shuffled again nor broadcast (per-order items grow with the data).
+    docs = orders.join(per_order.hint("merge"),
+                       F.col("order_id_text") == F.col("line_order_id"), "left")
     fields = _order_fields()
     shipping = fields.pop("shippingData")
     fields.pop("items")
