@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.scalars import try_ratio_pct
-from orderlake.operators.joins import full_outer_chain
 from orderlake.operators.metrics import (add_global_metrics, add_key_metrics,
                                          attach_metrics, distinct_count_with_null,
                                          global_metrics)
@@ -89,22 +88,28 @@ def customer_metrics(orders: DataFrame, items: DataFrame,
 
 def kpi_table(silver: dict[str, DataFrame], load_date: dt.date | None = None) -> DataFrame:
     """Orders full-outer items full-outer profiles, inner-joined to the enriched
-    profiles on order_id; 15 columns."""
+    profiles on order_id; 15 columns.
+
+    The trailing inner join keeps only order ids of enriched profile rows, and every
+    such id is a key of the profiles input of the outer chain.  So the chain reduces to
+    left joins from the enriched rows: for an order id k the rows are
+    enriched(k) x max(1, orders(k)) x max(1, items(k)) x max(1, profiles(k)), exactly
+    the chain's, with no key spine and no null-key rows (an inner join drops those).
+    """
     orders, items, profiles = silver["orders"], silver["items"], silver["client_profile"]
     orders_k = orders_with_kpis(orders)
     items_k = product_metrics(items)
     enriched = customer_metrics(orders, items, profiles)
-    chain = full_outer_chain([
-        orders_k.select("order_id", "total_orders", "completed_orders", "cancelled_orders",
-                        "total_order_value", "average_order_value", "fulfillment_rate",
-                        "cancellation_rate"),
-        items_k.select("order_id", "product_id", "total_quantity_sold", "total_sales_value",
-                       "average_price"),
-        profiles.select("order_id"),
-    ], "order_id")
-    joined = chain.join(enriched.select("order_id", "customer_lifetime_value",
-                                        "total_orders_per_customer",
-                                        "average_items_per_order"), "order_id")
+    joined = (enriched.select("order_id", "customer_lifetime_value",
+                              "total_orders_per_customer", "average_items_per_order")
+              .where(F.col("order_id").isNotNull())
+              .join(orders_k.select("order_id", "total_orders", "completed_orders",
+                                    "cancelled_orders", "total_order_value",
+                                    "average_order_value", "fulfillment_rate",
+                                    "cancellation_rate"), "order_id", "left")
+              .join(profiles.select("order_id"), "order_id", "left")
+              .join(items_k.select("order_id", "product_id", "total_quantity_sold",
+                                   "total_sales_value", "average_price"), "order_id", "left"))
     at = F.current_date() if load_date is None else F.lit(load_date)
     return joined.select(
         "product_id", "total_orders", "completed_orders",

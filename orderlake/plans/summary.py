@@ -147,20 +147,23 @@ def order_summary(silver: dict[str, DataFrame], only_returned: bool = False,
     cancellation_m = cancellation_metrics(g["cancellation"])
     items_r = return_counts(items_m, g["cancellation"], g["items"], only_returned)
     customers = customer_order_counts(g["orders"], g["client_profile"])
+    # Inputs with one row per order first, the ones that multiply rows (payments,
+    # shipping lines, item rows) last: every join streams the rows built so far, so the
+    # full product is formed only by the final join instead of being re-streamed.
     parts = [
         orders_m.select("order_id", "fulfillment_time", "status", "order_status_count",
                         "sales_channel", "total_orders_per_channel",
                         "total_sales_value_per_channel"),
+        cancellation_m.select("order_id", "cancel_reason", "cancel_reason_count",
+                              "is_return"),
+        g["client_profile"].select("order_id", "email"),
+        customers.select("order_id", "total_orders_per_customer", "is_repeat_customer"),
         payment_m.select("order_id", "payment_system_name", "payment_method_usage_count",
                          "payment_method_total_value"),
         shipping_m.select("order_id", "avg_shipping_cost", "total_shipping_cost"),
         items_r.select("order_id", "product_id", "total_quantity_sold", "total_sales_value",
                        "return_count"),
-        cancellation_m.select("order_id", "cancel_reason", "cancel_reason_count",
-                              "is_return"),
-        g["client_profile"].select("order_id", "email"),
-        customers.select("order_id", "total_orders_per_customer", "is_repeat_customer"),
     ]
-    key_sources = [g[n] for n in ("orders", "payment", "shipping_data", "items",
-                                  "cancellation", "client_profile")]
+    key_sources = [g[n] for n in ("orders", "cancellation", "client_profile", "payment",
+                                  "shipping_data", "items")]
     return full_outer_chain(parts, "order_id", key_sources).select(*SUMMARY_COLUMNS)
