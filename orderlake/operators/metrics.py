@@ -34,7 +34,8 @@ def _as_list(keys: str | list[str]) -> list[str]:
 
 
 def materialize(df: DataFrame, label: str = "table",
-                bucket_by: list[str] | None = None) -> DataFrame:
+                bucket_by: list[str] | None = None,
+                prepartitioned: bool = False) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing the
@@ -45,7 +46,10 @@ def materialize(df: DataFrame, label: str = "table",
     gives a scan that is already hash-partitioned on those columns, so later joins,
     deduplications and aggregates keyed by them need no shuffle.  When ``df`` is already
     hash-partitioned on the same columns into that many partitions, each task writes a
-    single bucket file.
+    single bucket file.  Otherwise the rows are first hash-partitioned on the bucket
+    columns (Spark drops that shuffle when the input is a scan of a table bucketed the
+    same way), so the write never produces a file per bucket per task;
+    ``prepartitioned=True`` states that the caller already partitioned the rows so.
     """
     spark = df.sparkSession
     tag = uuid.uuid4().hex
@@ -54,6 +58,8 @@ def materialize(df: DataFrame, label: str = "table",
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not prepartitioned:
+        df = df.repartition(buckets, *bucket_by)
     name = f"orderlake_{label.replace('-', '_')}_{tag}"
     (df.write.mode("overwrite").format("parquet").option("path", path)
      .bucketBy(buckets, *bucket_by).saveAsTable(name))

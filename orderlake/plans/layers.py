@@ -44,7 +44,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         if "__documents__" not in layer:
             docs = parse_documents(bronze(spark, sf_dir), fields=DOCUMENT_FIELDS,
                                    skip=DOCUMENT_SKIP)
-            layer["__documents__"] = materialize(docs, "documents", bucket_by=["orderId"])
+            # The documents come out of the build hash-partitioned on the order id text
+            # into the session's shuffle partitions (``build_bronze``): one file per bucket.
+            layer["__documents__"] = materialize(docs, "documents", bucket_by=["orderId"],
+                                                 prepartitioned=True)
         return layer["__documents__"]
 
 
