@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from orderlake.functions.naming import snake_case_columns
 from orderlake.operators import flatten as FL
 from orderlake.operators.joins import full_outer_chain
-from orderlake.operators.metrics import (add_global_metrics, add_group_metric,
-                                         distinct_count_with_null)
+from orderlake.operators.metrics import add_global_metrics, add_group_metric
 from orderlake.plans import kpi as K
 from orderlake.plans import layers as L
 from orderlake.plans import oracle as O

@@ -70,16 +70,8 @@ def merge_by_key(target: DataFrame, source: DataFrame, keys: list[str],
     return kept.unionByName(source.select(*target.columns))
 
 
-def _table_location(spark: SparkSession, name: str) -> str | None:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
-    for r in rows:
-        if r[0] == "Location":
-            return r[1]
-    return None
-
-
 def save_with_merge(df: DataFrame, path: str, database: str, table: str,
-                    keys: list[str] | str, load_date: dt.date | None = None,
+                    keys: list[str] | str | None, load_date: dt.date | None = None,
                     null_safe: bool = False, fmt: str = "parquet") -> DataFrame:
     """Snake-case the columns, stamp the load date, then create or merge.
 
@@ -87,12 +79,14 @@ def save_with_merge(df: DataFrame, path: str, database: str, table: str,
     (S4, S5).  Later loads: keyed upsert (S7) written to a new folder next to the
     current one, then the table is re-pointed there (S6 decides between the two).
     ``keys`` may be a list or comma-separated text; keys are snake-cased like the columns.
+    ``keys=None`` replaces the table's content instead (for tables without a unique key,
+    such as the two gold tables), with the same write-then-switch.
     Returns the table as stored.
     """
     spark = df.sparkSession
     if isinstance(keys, str):
         keys = [k.strip() for k in keys.split(",") if k.strip()]
-    keys = [to_snake_case(k) for k in keys]
+    keys = [to_snake_case(k) for k in keys] if keys else []
     staged = with_load_date(snake_case_columns(df), load_date)
     missing = [k for k in keys if k not in staged.columns]
     if missing:
@@ -102,10 +96,10 @@ def save_with_merge(df: DataFrame, path: str, database: str, table: str,
     if not spark.catalog.tableExists(name):
         staged.write.mode("overwrite").format(fmt).option("path", path).saveAsTable(name)
         return spark.table(name)
-    target = spark.table(name)
-    merged = merge_by_key(target, staged, keys, null_safe=null_safe)
+    result = (merge_by_key(spark.table(name), staged, keys, null_safe=null_safe)
+              if keys else staged)
     new_path = f"{path.rstrip('/')}__v{uuid.uuid4().hex[:12]}"
-    merged.write.mode("errorifexists").format(fmt).save(new_path)
+    result.write.mode("errorifexists").format(fmt).save(new_path)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_path}'")
     spark.catalog.refreshTable(name)
     return spark.table(name)

@@ -1,7 +1,5 @@
 """Generators, struct expansion and drops (G1-G4, P2, P5, F3) on literal edge cases."""
 
-from pyspark.sql import functions as F
-
 from orderlake.operators import flatten as FL
 
 SCHEMA = "id INT, arr ARRAY<STRING>, m MAP<STRING,STRING>, s STRUCT<a: INT, b: STRING>"

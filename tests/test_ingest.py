@@ -1,7 +1,5 @@
 """Document parsing (S1, S3): permissive JSON handling, bronze round trip."""
 
-from pyspark.sql import functions as F
-
 from orderlake.plans.silver import BUILDERS, silver_table
 from orderlake.sources.ingest import (parse_documents, parse_json_column,
                                       read_documents, write_bronze)

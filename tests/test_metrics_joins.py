@@ -66,3 +66,11 @@ def test_full_outer_chain_rejects_name_clash(spark):
     a = spark.createDataFrame([("1", 1)], "id STRING, v INT")
     with pytest.raises(ValueError):
         full_outer_chain([a, a], "id")
+
+
+def test_full_outer_chain_with_key_sources(spark):
+    a = spark.createDataFrame([("1", "a1"), ("2", "a2")], "id STRING, x STRING")
+    b = spark.createDataFrame([("2", "b1"), ("3", "b2"), (None, "b3")], "id STRING, y STRING")
+    ours = full_outer_chain([a, b], "id", key_sources=[a.select("id"), b.select("id")])
+    plain = full_outer_chain_plain([a, b], "id")
+    assert _rows(ours, "id", "x", "y") == _rows(plain, "id", "x", "y")

@@ -65,3 +65,13 @@ def test_load_date(spark):
     df = spark.createDataFrame([(1,)], "x INT")
     assert with_load_date(df, DAY).first().load_date == DAY
     assert with_load_date(df).first().load_date is not None
+
+
+def test_save_without_keys_replaces(spark, tmp_path):
+    cols = ["OrderId", "Metric"]
+    path = str(tmp_path / "t3")
+    save_with_merge(spark.createDataFrame([("1", 1), ("1", 2)], cols), path, "ol_db",
+                    "gold_like", None, DAY)
+    out = save_with_merge(spark.createDataFrame([("2", 5)], cols), path, "ol_db",
+                          "gold_like", None, DAY)
+    assert [(r.order_id, r.metric) for r in out.collect()] == [("2", 5)]
