@@ -476,3 +476,53 @@ def q_g2_items_per_order(spark, sf_dir):
 @register("kpi_table", O.gold2_sql("SELECT * FROM kpi"))
 def q_kpi_table(spark, sf_dir):
     return K.kpi_table(_g2(spark, sf_dir), LOAD_DATE)
+
+
+# ---------------------------------------------------------------------------
+# One query per remaining metric, so each inventory line has its own check
+# ---------------------------------------------------------------------------
+
+def _projection(source: Callable[[SparkSession, str], DataFrame], cols: list[str]) -> Query:
+    def run(spark, sf_dir):
+        return source(spark, sf_dir).select(*cols)
+    return run
+
+
+def _shipping_m(spark, sf_dir):
+    return S.shipping_metrics(_g1(spark, sf_dir)["shipping_data"])
+
+
+def _cancellation_m(spark, sf_dir):
+    return S.cancellation_metrics(_g1(spark, sf_dir)["cancellation"])
+
+
+def _customers_m(spark, sf_dir):
+    s = _g1(spark, sf_dir)
+    return S.customer_order_counts(s["orders"], s["client_profile"])
+
+
+for _name, _src, _cols, _cte in [
+    ("gold1_avg_shipping_cost", _shipping_m, ["order_id", "avg_shipping_cost"], "s2"),
+    ("gold1_total_shipping_cost", _shipping_m, ["order_id", "total_shipping_cost"], "s2"),
+    ("gold1_cancel_reason", _cancellation_m, ["order_id", "cancel_reason"], "c3"),
+    ("gold1_is_return", _cancellation_m, ["order_id", "cancellation_date", "is_return"], "c3"),
+    ("gold1_is_repeat_customer", _customers_m, ["order_id", "is_repeat_customer"], "cust"),
+]:
+    register(_name, O.gold1_sql(f"SELECT {', '.join(_cols)} FROM {_cte}"))(
+        _projection(_src, _cols))
+
+
+def _order_kpis(spark, sf_dir):
+    return K.order_kpis(_g2(spark, sf_dir)["orders"]).withColumnRenamed(
+        "cancelled_orders", "canceled_orders")
+
+
+for _col, _sql_col in [("total_orders", "total_orders"),
+                       ("completed_orders", "completed_orders"),
+                       ("canceled_orders", "cancelled_orders AS canceled_orders"),
+                       ("total_order_value", "total_order_value"),
+                       ("average_order_value", "average_order_value"),
+                       ("fulfillment_rate", "fulfillment_rate"),
+                       ("cancellation_rate", "cancellation_rate")]:
+    register(f"gold2_{_col}", O.gold2_sql(f"SELECT {_sql_col} FROM kpis"))(
+        _projection(_order_kpis, [_col]))
