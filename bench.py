@@ -65,8 +65,9 @@ def main() -> None:
 
     timed("bronze_silver", lambda: [L.silver(spark, sf_dir, n) for n in BUILDERS])
     silver = L.silver_set(spark, sf_dir, *L.GOLD1_INPUTS)
-    timed("order_summary", lambda: run(S.order_summary(silver)))
-    prepared = L.gold1_inputs(spark, sf_dir)
+    prepared: dict = {}
+    timed("order_summary", lambda: (prepared.update(L.gold1_inputs(spark, sf_dir)),
+                                    run(S.order_summary(prepared, prepared=True))))
     timed("kpi_table", lambda: run(K.kpi_table(silver, LOAD_DATE)))
     from orderlake.plans.silver import silver_table
     timed("silver_items", lambda: run(silver_table(L.documents(spark, sf_dir), "items")))

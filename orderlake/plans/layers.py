@@ -72,7 +72,9 @@ def gold1_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     with _LOCK:
         layer = _layer(spark, sf_dir)
         if "__gold1__" not in layer:
-            layer["__gold1__"] = prepare_inputs(silver_set(spark, sf_dir, *GOLD1_INPUTS))
+            # The stored items table is build_items' output, deduplicated already.
+            layer["__gold1__"] = prepare_inputs(silver_set(spark, sf_dir, *GOLD1_INPUTS),
+                                                already_unique=("items",))
         return layer["__gold1__"]
 
 

@@ -32,14 +32,21 @@ SUMMARY_COLUMNS = [
 DEDUPLICATED = ("payment", "shipping_data", "items", "cancellation", "client_profile")
 
 
-def prepare_inputs(silver: dict[str, DataFrame], store: bool = True) -> dict[str, DataFrame]:
+def prepare_inputs(silver: dict[str, DataFrame], store: bool = True,
+                   already_unique: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """Full-row dedupe of every input but orders (A9), each computed once.
 
     Stored (``materialize``) by default: several metrics and the final join read the
     same deduplicated table, and reading it back is cheaper than repeating the shuffle.
+    ``already_unique`` names inputs known to hold no duplicate rows (for instance an
+    ``items`` table straight from ``build_items``, which ends with the same full-row
+    dedupe); they are used as they are.
     """
     out = {"orders": silver["orders"]}
     for name in DEDUPLICATED:
+        if name in already_unique:
+            out[name] = silver[name]
+            continue
         dedup = silver[name].dropDuplicates()
         out[name] = (materialize(dedup, f"gold1-{name}", bucket_by=["order_id"])
                      if store else dedup)

@@ -25,3 +25,9 @@ def test_document_rows_sit_in_their_bucket(spark):
 def test_silver_rows_sit_in_their_bucket(spark):
     for name in ("orders", "items", "payment"):
         assert _misplaced(spark, L.silver(spark, SF, name), "order_id") == 0
+
+
+def test_stored_items_have_no_duplicate_rows(spark):
+    # the summary uses the stored items table without a second dedupe
+    items = L.silver(spark, SF, "items")
+    assert items.count() == items.dropDuplicates().count()
