@@ -60,12 +60,24 @@ def materialize(df: DataFrame, label: str = "table",
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if not prepartitioned:
         df = df.repartition(buckets, *bucket_by)
-    name = f"orderlake_{label.replace('-', '_')}_{tag}"
+    name = f"{_staging_database(spark)}.{label.replace('-', '_')}_{tag}"
     (df.write.mode("overwrite").format("parquet").option("path", path)
      .bucketBy(buckets, *bucket_by).saveAsTable(name))
     return spark.table(name)
 
 
+STAGING_DATABASE = "orderlake_stage"
+
+
+def _staging_database(spark) -> str:
+    """A catalog database for stored intermediate tables, located in the checkpoint
+    folder (so nothing is written to the session's default warehouse)."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGING_DATABASE} "
+              f"LOCATION '{root}/orderlake/{STAGING_DATABASE}.db'")
+    return STAGING_DATABASE
+
+
 def attach_metrics(df: DataFrame, agg: DataFrame, keys: str | list[str],
                    null_safe: bool = False, write: bool = True) -> DataFrame:
     """Left-join per-key metrics ``agg`` (one row per key) back onto ``df``."""
