@@ -26,7 +26,7 @@ from orderlake.sources.upsert import save_with_merge
 ONE_ROW_PER_ORDER = ("orders", "client_profile", "store_preferences", "client_preferences",
                      "cancellation")
 
-GOLD_TABLES = {"order_summary": "gold_customer_order_summary", "kpi_table": "gold_kpi"}
+GOLD_TABLES = {"order_summary": "gold_order_summary", "kpi_table": "gold_kpi"}
 
 
 def bronze_to_silver(bronze: DataFrame, lake_path: str, database: str,
