@@ -44,7 +44,8 @@ def main() -> None:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
+    from orderlake.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)   # the configured spark.checkpoint.dir, or a scratch one
 
     from orderlake.plans import kpi as K
     from orderlake.plans import layers as L

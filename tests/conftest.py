@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
-    from orderlake.session import SCALE_CONF
+    from orderlake.session import SCALE_CONF, ensure_checkpoint_dir
 
     builder = (SparkSession.builder.master("local[4]").appName("orderlake-tests")
                .config("spark.sql.shuffle.partitions", "4")
@@ -21,6 +21,9 @@ def spark(tmp_path_factory):
         builder = builder.config(k, v)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
+    else:
+        ensure_checkpoint_dir(session)
     yield session
     session.stop()
