@@ -6,7 +6,8 @@ Three shapes, which differ only in how a null key is treated:
   ``agg(...).over(Window.partitionBy(key))``; rows with a null key form their own group.
 * ``add_group_metric``: ``groupBy(key).agg(...)`` left-joined back on the key; a null key
   never matches, so its rows get a null metric.
-* ``add_global_metrics``: one aggregate over all rows, repeated on every row.
+* ``add_global_metrics``: one aggregate over all rows, repeated on every row (as scalar
+  subqueries, no join).
 
 None of them uses a window.  A whole-partition window sends every row of a key to one
 task, and status, channel or payment method have a handful of values, so one task would
@@ -16,7 +17,7 @@ the small per-key result is joined back.  The join-back side is written to the s
 checkpoint folder and read back, so the planner sees its real file size: below
 ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast and the detail rows are not
 shuffled at all; above it the join is a sort-merge join that AQE splits when a key is
-skewed.  A global aggregate is one row, so it is always broadcast.
+skewed.
 """
 
 from __future__ import annotations
@@ -137,8 +138,14 @@ def global_metrics(df: DataFrame, **aggs: Column) -> DataFrame:
 
 
 def add_global_metrics(df: DataFrame, **aggs: Column) -> DataFrame:
-    """Global aggregates repeated on every row (P9): one pass, one broadcast row."""
-    return df.crossJoin(F.broadcast(global_metrics(df, **aggs)))
+    """Global aggregates repeated on every row (P9), without any join.
+
+    Each aggregate is a scalar subquery (``DataFrame.scalar``): Spark merges the
+    subqueries over the same input into one aggregate, runs it once (partial aggregates
+    per task, one row to the driver-side subquery result) and inlines the values into
+    the projection.  An empty input gives typed nulls.
+    """
+    return df.select("*", *[df.agg(c).scalar().alias(n) for n, c in aggs.items()])
 
 
 def distinct_count_with_null(column: str) -> Column:
