@@ -355,7 +355,6 @@ def _order_fields() -> dict[str, Column]:
         "lastChange": F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"),
         "orderGroup": F.concat(F.lit("G"), _str((k / 10).cast("bigint"))),
         "totals": totals,
-        "items": F.lit(None),
         "marketplaceItems": F.when(k % 5 == 0, F.array(F.concat(F.lit("MKT-"), k_s)))
                              .when(k % 5 == 1, F.lit(None))
                              .otherwise(F.array().cast("array<string>")),
@@ -371,7 +370,6 @@ def _order_fields() -> dict[str, Column]:
         "storePreferencesData": store,
         "authorizedDate": F.when(k % 11 == 0, F.lit(None)).otherwise(
             F.timestamp_add("DAY", (k % 5).cast("int"), F.col("o_orderdate"))),
-        "itemMetadata": F.lit(None),
         "cancellationData": cancellation,
         "clientPreferencesData": _struct(
             locale=F.when(k % 2 == 0, F.lit("pt-BR")).otherwise(F.lit("en-US")),
@@ -400,11 +398,10 @@ def orders_partitions(df: DataFrame) -> int:
 def build_bronze(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per order with the JSON document in ``orderDetails``.
 
-    Line items are hash-partitioned on the order key first (narrow raw columns cross the
-    network, and the per-order aggregate and the join with ``orders`` reuse that
-    partitioning), then turned into JSON text in parallel, and the per-order aggregate
-    only gathers strings.  The order's document is its own fields' JSON with the
-    gathered arrays spliced in, built after the join, again in parallel.
+    Line items cross the network as narrow raw columns, are turned into JSON text in
+    parallel after the shuffle, and the per-order aggregate only gathers strings.  The
+    order's document is its own fields' JSON (``items``, ``shippingData.logisticsInfo``
+    and ``itemMetadata`` left out) with the gathered arrays spliced in.
     """
     c = _line_columns()
     # Both sides are hash-partitioned on the order id text (the document's ``orderId``)
@@ -416,7 +413,7 @@ def build_bronze(tables: dict[str, DataFrame]) -> DataFrame:
     per_order = (tables["lineitem"]
                  .withColumn("line_order_id", F.col("l_orderkey").cast("string"))
                  .repartition(parts, "line_order_id")
-                 .select("line_order_id", "l_orderkey",
+                 .select("line_order_id",
                          F.to_json(_item(c)).alias("item"),
                          F.to_json(_logistics(c)).alias("logistics"),
                          F.to_json(_metadata_item(c)).alias("metadata"))
@@ -434,8 +431,6 @@ def build_bronze(tables: dict[str, DataFrame]) -> DataFrame:
                        F.col("order_id_text") == F.col("line_order_id"), "left")
     fields = _order_fields()
     shipping = fields.pop("shippingData")
-    fields.pop("items")
-    fields.pop("itemMetadata")
     shipping_text = _splice(F.to_json(shipping),
                             _json_member("logisticsInfo", _json_array(F.col("logistics"))))
     document = _splice(
