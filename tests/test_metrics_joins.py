@@ -74,3 +74,11 @@ def test_full_outer_chain_with_key_sources(spark):
     ours = full_outer_chain([a, b], "id", key_sources=[a.select("id"), b.select("id")])
     plain = full_outer_chain_plain([a, b], "id")
     assert _rows(ours, "id", "x", "y") == _rows(plain, "id", "x", "y")
+
+
+def test_global_metrics_on_empty_input_are_typed_nulls(spark):
+    empty = spark.createDataFrame([], "k STRING, v INT")
+    out = add_global_metrics(empty, avg_v=F.avg("v"), total=F.sum("v"))
+    assert dict(out.dtypes)["avg_v"] == "double"
+    assert dict(out.dtypes)["total"] == "bigint"
+    assert out.count() == 0
