@@ -11,6 +11,7 @@ from __future__ import annotations
 import gc
 import pickle
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -167,3 +168,13 @@ def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     start = np.flatnonzero(begins)
     counts = np.diff(np.searchsorted(start, off))
     return span_hash(prefix_hash(raw), start, np.flatnonzero(ends) + 1), counts
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver imported it, if it is
+    not on their path anyway (``--py-files`` or an installed package)."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        env["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
