@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from orderlake.llm.common import flat, mix, pieces, word_hashes
 
@@ -142,17 +143,15 @@ def wand(index: Index, terms: np.ndarray, least: float) -> list[tuple[int, float
         while pivot + 1 < len(alive) and alive[pivot + 1][0] == target:
             pivot += 1
         lists = [t for _, t in alive[:pivot + 1]]
-        blocks = bound_until = 0
-        bound_until = len(index.ids)
-        limit = 0.0
+        bound_until, limit = len(index.ids), 0.0
         for t in lists:
             # the block of the list that may hold the pivot item
             p = at[t] + int(np.searchsorted(index.item[at[t]:end[t]], target))
             if p >= end[t]:
                 continue
-            blocks = (p - int(index.start[t])) // BLOCK
-            limit += index.peak[index.block_start[t] + blocks]
-            last = min(int(index.start[t]) + (blocks + 1) * BLOCK, end[t]) - 1
+            block = (p - int(index.start[t])) // BLOCK
+            limit += index.peak[index.block_start[t] + block]
+            last = min(int(index.start[t]) + (block + 1) * BLOCK, end[t]) - 1
             bound_until = min(bound_until, int(index.item[last]))
         if limit >= least - 1e-12:
             score = 0.0
@@ -255,7 +254,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
     found = docs.sparkSession.createDataFrame([], schema)
     for index in index_blocks(items, item_id, question, answer, least):
-        found = found.unionByName(rows.mapInArrow(_search(index, least, overlap), schema))
+        found = found.unionByName(rows.mapInArrow(_search(index, least, overlap, to_arrow_type(items.schema[item_id].dataType)), schema))
     return found
 
 
@@ -275,7 +274,7 @@ def index_blocks(items: DataFrame, item_id: str = "item_id", question: str = "te
                 build_index([r["i"] for r in got], [r["q"] for r in got], [r["a"] for r in got], least))
 
 
-def _search(shared, least: float, overlap: float):
+def _search(shared, least: float, overlap: float, kind: pa.DataType):
     def run(batches):
         index = shared.value
         for batch in pieces(batches, most=2 << 20):
@@ -288,7 +287,7 @@ def _search(shared, least: float, overlap: float):
             names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word"]
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array([d for d, _ in best], pa.int64())),
-                 pa.array([index.ids[i] for _, i in best], None if best else pa.int64()),
+                 pa.array([index.ids[i] for _, i in best], kind),
                  *(pa.array([v[j] for v in best.values()], pa.float64()) for j in range(3)),
                  pa.array([v[3] for v in best.values()], pa.int64())], names)
 

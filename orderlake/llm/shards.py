@@ -50,7 +50,7 @@ def shuffle_to(docs: DataFrame, path: str, seed: int = 17, doc_id: str = "doc_id
     keyed = docs.withColumn("shuffle_bucket", bucket).withColumn(
         "__order", F.xxhash64(F.lit(seed + 1), F.col(doc_id), F.col(text)))
 
-    def shuffle(key, rows: pa.Table) -> pa.Table:
+    def shuffle(key, rows):
         number = key[0].as_py()
         fixed = np.argsort(rows.column("__order").to_numpy(), kind="stable")
         dealt = np.random.Generator(np.random.PCG64([seed, number])).permutation(len(fixed))

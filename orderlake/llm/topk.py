@@ -54,7 +54,7 @@ def _packed(vectors: DataFrame, rows: int, total: int) -> tuple[DataFrame, int]:
     """Blocks of about ``rows`` vectors: (block, n, payload of ids and matrix)."""
     blocks = parts_for(total, rows, least=1)
 
-    def fold(key, table: pa.Table) -> pa.Table:
+    def fold(key, table):
         ids, m = _matrix(table.column("vec_id").to_pylist(), table.column("v").to_pylist())
         order = np.argsort(ids, kind="stable")
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()),
