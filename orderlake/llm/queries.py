@@ -7,8 +7,13 @@ import os
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlake.llm.common import importable
+from orderlake.llm.common import importable, scratch, staged
+
+#: Words of the two counting rules of the token-count query.
+WORD = r"[^\x20\x09-\x0D]+"
+PLAIN_WORD = r"[^\x20\x09-\x0D]*[A-Za-z0-9][^\x20\x09-\x0D]*"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +48,90 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 24 shuffled shards (law ``rows``)."""
+    from orderlake.llm import shards
+    placed = shards.shard_documents(table(spark, sf_dir, "documents"), 24)
+    return placed.select(
+        "doc_id", shards.record_size().alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, with the item."""
+    from orderlake.llm import decontam
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best rows for every row whose vec_id is divisible by 100 (the stated queries)."""
+    from orderlake.llm import topk
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from orderlake.llm import html
+    return html.extract_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document: four-word shingles, similarity 0.85."""
+    from orderlake.llm import jaccard
+    return jaccard.components(table(spark, sf_dir, "documents"), words=4, similarity=(85, 100))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after a load of all documents under two tokenizer versions, a revision (words
+    without a letter or digit no longer count), the deletion of later copies of equal texts,
+    and a replay of the load and the revision, which changes nothing."""
+    from orderlake.llm.counts import Rollup
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", F.sha2(text.cast("binary"), 256).alias("digest"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"),
+        F.regexp_count(text, F.lit(PLAIN_WORD)).cast("long").alias("plain_words"),
+        F.octet_length(text).cast("long").alias("bytes"))
+    docs = staged(docs, "counted")
+    both = F.explode(F.array(
+        F.struct(F.lit("words").alias("tokenizer"), F.col("words").alias("before"), F.col("plain_words").alias("after")),
+        F.struct(F.lit("bytes").alias("tokenizer"), F.col("bytes").alias("before"), F.col("bytes").alias("after"))))
+    rows = docs.select("doc_id", "source", "lang", "digest", both.alias("c")).select(
+        "doc_id", "source", "lang", "digest", "c.*")
+    none = F.lit(None).cast("long")
+    load = rows.select("source", "lang", "tokenizer", F.lit("insert").alias("kind"),
+                       F.col("before").alias("n_tokens"), none.alias("old_tokens"))
+    revised = rows.where("before <> after").select(
+        "source", "lang", "tokenizer", F.lit("revise").alias("kind"),
+        F.col("after").alias("n_tokens"), F.col("before").alias("old_tokens"))
+    first = docs.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    gone = rows.join(first, "digest").where("doc_id > first").select(
+        "source", "lang", "tokenizer", F.lit("delete").alias("kind"),
+        F.col("after").alias("n_tokens"), none.alias("old_tokens"))
+    rollup = Rollup(spark, scratch(spark, "token-counts"))
+    for batch, changes in (("load", load), ("revision", revised), ("copies", gone),
+                           ("load", load), ("revision", revised)):
+        rollup.commit(batch, changes)
+    return rollup.totals()
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and verdict of every document."""
+    from orderlake.llm import toxicity
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model, ["doc_id"]).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= toxicity.REJECT).cast("int").alias("predicted"))
+
+
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated 100-byte strings."""
+    from orderlake.llm import suffixes
+    return suffixes.repeat_digests(table(spark, sf_dir, "documents"), 100)
+
+
 def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Katz backoff scores of every document."""
     from orderlake.llm.katz import katz_scores
@@ -50,8 +139,70 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_shards": op1_shards,
     "op2_bpe": op2_bpe,
+    "op3_decontamination": op3_decontamination,
+    "op4_topk": op4_topk,
+    "op5_html": op5_html,
+    "op6_jaccard": op6_jaccard,
+    "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
+    "op9_suffixes": op9_suffixes,
     "op10_katz": op10_katz,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op4_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id,
+                   list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        r AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+                   vec_id, score
+            FROM s)
+        SELECT * FROM r WHERE rank <= 10""",
+    "op6_jaccard": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+            FROM documents),
+        g AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(ws) = 0 THEN []
+                WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS s
+            FROM w),
+        n AS (SELECT doc_id, count(*) AS c FROM g GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b USING (s)
+              WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+              WHERE 100 * p.c >= 85 * (x.c + y.c - p.c)),
+        t(doc_id, root) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT l.b, t.root FROM t JOIN l ON l.a = t.doc_id)
+        SELECT w.doc_id, coalesce(n.c, 0) AS n_shingles, m.component_id
+        FROM w LEFT JOIN n USING (doc_id)
+        JOIN (SELECT doc_id, min(root) AS component_id FROM t GROUP BY doc_id) m USING (doc_id)""",
+    "op7_token_counts": r"""
+        WITH d AS (
+            SELECT doc_id, source, lang, coalesce(text, '') AS t,
+                   doc_id = min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept
+            FROM documents),
+        c AS (
+            SELECT source, lang, kept, unnest([
+                {'tokenizer': 'words', 'n': len(regexp_extract_all(t, '[^\x20\x09-\x0D]*[A-Za-z0-9][^\x20\x09-\x0D]*'))},
+                {'tokenizer': 'bytes', 'n': strlen(t)}]) AS x
+            FROM d)
+        SELECT source, lang, x.tokenizer AS tokenizer,
+               count(*) FILTER (WHERE kept)::BIGINT AS documents,
+               coalesce(sum(x.n) FILTER (WHERE kept), 0)::BIGINT AS tokens
+        FROM c GROUP BY ALL""",
+}

@@ -116,7 +116,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024) -> DataF
     on ``vec_id``."""
     whole = staged(quantized(vectors, scale), "vectors")
     total = whole.count()
-    queries = whole.where(is_query)
+    queries = whole.where(is_query).dropDuplicates(["vec_id", "v"])
     asked = queries.count()
     data, _ = _packed(whole, BLOCK_ROWS, total)
     ask, ask_blocks = _packed(queries, QUERY_ROWS, asked)
