@@ -114,7 +114,7 @@ def _send_anchors(length: int, k: int, parts: int):
     of a batch for one part."""
 
     def run(batches):
-        for batch in pieces(batches, most=2 << 20):
+        for batch in pieces(batches, most=1 << 20):
             raw, off = flat(batch.column("text"))
             whole = raw.tobytes()
             keys = batch.column("key").to_pylist()
@@ -144,28 +144,28 @@ def _repeated_anchors(common: int):
 
     def run(batches):
         for _, rows in _runs(batches):
-            parts = [unpack(p) for p in rows]
-            grams = np.concatenate([p[0] for p in parts])
-            tid = np.concatenate([p[2].astype(np.int64)[p[1].astype(np.int64)] for p in parts])
+            grams, tid, twice = [], [], []
+            while rows:
+                g, at, tids = unpack(rows.pop())
+                t = tids.astype(np.int64)[at.astype(np.int64)]
+                # sorted by (gram, text): neighbours show a gram that a text has twice
+                same = (g[1:] == g[:-1]) & (t[1:] == t[:-1])
+                new = np.concatenate(([True], ~same))
+                grams.append(g[new])
+                tid.append(t[new])
+                twice.append(np.concatenate((same, [False]))[new])
+            grams, tid, twice = np.concatenate(grams), np.concatenate(tid), np.concatenate(twice)
             order = np.lexsort((tid, grams))
-            grams, tid = grams[order], tid[order]
-            del order, parts
-            same = (grams[1:] == grams[:-1]) & (tid[1:] == tid[:-1])
-            new = np.concatenate(([True], ~same))
-            begin = np.flatnonzero(new)
-            # twice in one text counts, but equal texts count once; so more than one anchor of a
-            # text in one batch row is told apart from the same text in two rows
+            grams, tid, twice = grams[order], tid[order], twice[order]
+            # equal texts count once
+            begin = np.flatnonzero(np.concatenate(([True], (grams[1:] != grams[:-1]) | (tid[1:] != tid[:-1]))))
+            twice = np.logical_or.reduceat(twice, begin)
             grams, tid = grams[begin], tid[begin]
-            value, of, texts = np.unique(grams, return_inverse=True, return_counts=True)
-            often = texts[of] > 1
-            again = np.zeros(len(grams), bool)
-            for p in (unpack(r) for r in rows):
-                g, t = p[0], p[2].astype(np.int64)[p[1].astype(np.int64)]
-                twice = np.flatnonzero((g[1:] == g[:-1]) & (t[1:] == t[:-1]))
-                if len(twice):
-                    again |= np.isin(grams, g[twice])
-            keep = often | again
-            grams, tid, many = grams[keep], tid[keep], (texts[of] >= common)[keep]
+            head = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
+            texts = np.diff(np.concatenate((head, [len(grams)])))
+            keep = np.repeat((texts > 1) | np.logical_or.reduceat(twice, head), texts)
+            many = np.repeat(texts >= common, texts)[keep]
+            grams, tid = grams[keep], tid[keep]
             order = np.argsort(tid, kind="stable")
             grams, tid, many = grams[order], tid[order], many[order]
             cuts = np.flatnonzero(np.concatenate(([True], tid[1:] != tid[:-1], [True]))) if len(tid) else np.zeros(1, int)
@@ -378,7 +378,7 @@ def _with_told(batches):
                 for tid, payload in zip(piece.column("tid").to_pylist(), piece.column("payload").to_pylist()):
                     told.setdefault(tid, []).append(unpack(payload))
                 continue
-            for p in pieces([piece], most=2 << 20):
+            for p in pieces([piece], most=1 << 20):
                 raw, off = flat(p.column("text"))
                 tids = p.column("tid").to_numpy(zero_copy_only=False)
                 lists = []
@@ -432,7 +432,7 @@ def _cut_runs(splitters: list[bytes]):
     return run
 
 
-def _merge_range(length: int, k: int, hold: int = 100_000):
+def _merge_range(length: int, k: int, hold: int = 12_000):
     """Merge the runs of a range; yields packed repeats."""
 
     def run(batches):
