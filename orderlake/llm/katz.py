@@ -52,8 +52,8 @@ CUTOFF = 5
 #: Added to a context's count, so that some mass is always left for unseen words.
 DELTA = 0.01
 #: Text bytes of a chunk and text bytes that a bucket answers for.
-CHUNK_BYTES = 12 << 20
-BUCKET_BYTES = 28 << 20
+CHUNK_BYTES = 8 << 20
+BUCKET_BYTES = 12 << 20
 #: Text bytes of the sample that finds frequent words.
 SAMPLE_BYTES = 24 << 20
 
@@ -134,10 +134,15 @@ def _chunk_rows(ids, train, words, counts, frequent, buckets, chunk):
 
 def _count_bucket(bucket: int, rows, buckets: int, frequent: np.ndarray):
     """Counts of one word bucket; yields (kind, key, payload)."""
-    messages = [unpack(r) for r in rows]
+    messages = []
+    while rows:  # the packed form goes as the arrays come
+        messages.append(unpack(rows.pop(0)))
     w = np.concatenate([np.repeat(m[0], m[1]) for m in messages])
     h = np.concatenate([m[2] for m in messages])
     c = np.concatenate([m[3].astype(np.int64) for m in messages])
+    sizes = [len(m[2]) for m in messages]
+    for m in messages:
+        m[2] = m[3] = None
     order = np.lexsort((h, w))
     w, h = w[order], h[order]
     new_pair = np.concatenate(([True], (w[1:] != w[:-1]) | (h[1:] != h[:-1]))) if len(w) else np.zeros(0, bool)
@@ -170,10 +175,10 @@ def _count_bucket(bucket: int, rows, buckets: int, frequent: np.ndarray):
         log_w, log_p = np.log10(cw.astype(float)), np.log10(pair_count.astype(float))
     base, context = np.log10(cw + 0.5), np.log10(cw + DELTA)
     at, unseen = 0, []
-    for m in messages:
+    for m, size in zip(messages, sizes):
         n_docs, chunk = (int(x) for x in m[8])
-        pair = np.repeat(pair_of[at:at + len(m[2])], m[4].astype(np.int64))
-        at += len(m[2])
+        pair = np.repeat(pair_of[at:at + size], m[4].astype(np.int64))
+        at += size
         doc = m[5].astype(np.int64)
         known, hit = cw[pair] > 0, pair_count[pair] > 0
         gain = np.where(known, -context[pair], 0.0)
@@ -323,7 +328,9 @@ def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 for chunk, payload in rows:
                     yield _out("ids", chunk, payload)
                 continue
-            for row in _count_bucket(bucket, [p for _, p in rows], buckets, frequent):
+            packed = [p for _, p in rows]
+            rows.clear()
+            for row in _count_bucket(bucket, packed, buckets, frequent):
                 yield _out(*row)
 
     sent = docs.mapInArrow(send, "bucket int, chunk long, payload binary")
