@@ -14,8 +14,9 @@ most SPARE of them leaves them out, since one of the SPARE + 1 pieces is then an
 Sets that agree in a piece are candidates, and candidates are verified on the whole sets.
 
 Equal sets are one class from the start.  A group of classes that agree in a piece is not
-paired out: first each class meets the smallest class of the group; then only classes that the
-verified links left in different components meet, filtered by a short dense parity sketch.
+paired out: first each class meets the most central class of the group, in a few rounds; then
+only classes that the verified links left in different components meet, filtered by a short
+dense parity sketch.
 No link between different components is lost, so the components are exact.  (Shingles are
 compared by 64-bit hashes.)
 
@@ -40,7 +41,9 @@ from orderlake.llm.common import flat, mix, pack, pieces, release, staged, unpac
 #: Pieces (8 bytes each) that a bucket takes in, about.
 BUCKET_PIECES = 1_500_000
 #: 64-bit words of the dense sketch.
-DENSE = 4
+DENSE = 16
+#: Rounds in which the classes of a group meet one of them, before all that are left meet.
+STAR_ROUNDS = 3
 #: Code of a piece without a set bit, where such pieces are sent.
 EMPTY = np.uint64(1)
 
@@ -227,20 +230,53 @@ def _may_link(bands: Bands, size_a, size_b, dense_a, dense_b) -> np.ndarray:
     return (small * bands.den >= large * bands.num) & (apart <= bands.most_apart(size_a, size_b))
 
 
+def _centre(dense: np.ndarray) -> int:
+    """The row whose sketch is nearest to the bits that most rows have."""
+    bits = np.unpackbits(dense.view(np.uint8), axis=1)
+    usual = np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(bits)).view(np.uint64)
+    return int(np.bitwise_count(dense ^ usual).sum(axis=1, dtype=np.int64).argmin())
+
+
 def _stars(bands: Bands):
-    """Pairs (smallest class of a group, other class)."""
+    """Pairs of one class of a group with the others.
+
+    The one is the most central class; once components are told, the most central of the
+    classes outside the group's largest component, and it meets all other components."""
 
     def run(batches):
         for batch in batches:
-            for payload in batch.column("payload").to_pylist():
+            tolds = batch.column("told").to_pylist() if "told" in batch.schema.names else [None] * batch.num_rows
+            for payload, told in zip(batch.column("payload").to_pylist(), tolds):
                 names, sizes, dense, rows, cuts = _unpack_groups(payload)
-                head = np.repeat(rows[cuts[:-1]], np.diff(cuts))
-                pair = np.unique(np.stack((head, rows), axis=1)[head != rows], axis=0)
-                yield _pairs(bands, names, sizes, dense, pair[:, 0], pair[:, 1])
+                component = _components_of(names, told)
+                pairs = []
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    group = rows[a:b]
+                    outer = group
+                    if told:
+                        _, of, times = np.unique(component[group], return_inverse=True, return_counts=True)
+                        if len(times) == 1:
+                            continue
+                        outer = group[of != times.argmax()]
+                    one = outer[_centre(dense[outer])] if len(outer) > 2 else outer[0]
+                    rest = group[component[group] != component[one]]
+                    pairs.append(np.stack((np.full(len(rest), one), rest), axis=1))
+                if pairs:
+                    pair = np.unique(np.concatenate(pairs), axis=0)
+                    yield _pairs(bands, names, sizes, dense, pair[:, 0], pair[:, 1])
 
     return run
 
 
+def _components_of(names: np.ndarray, told) -> np.ndarray:
+    """Component of each class; a class without links is its own."""
+    component = names.copy()
+    if told:
+        node, where = unpack(told)
+        component[np.searchsorted(names, node)] = where
+    return component
+
+
 def _crossings(bands: Bands):
     """Pairs of classes of a group that are in different components.
 
@@ -250,9 +286,7 @@ def _crossings(bands: Bands):
         for batch in batches:
             for payload, told in zip(batch.column("payload").to_pylist(), batch.column("told").to_pylist()):
                 names, sizes, dense, rows, cuts = _unpack_groups(payload)
-                component = names.copy()
-                node, where = unpack(told) if told else (names[:0], names[:0])
-                component[np.searchsorted(names, node)] = where
+                component = _components_of(names, told)
                 done: set[bytes] = set()
                 for a, b in zip(cuts[:-1], cuts[1:]):
                     group = rows[a:b]
@@ -384,14 +418,16 @@ def classes(docs: DataFrame, words: int, similarity: tuple[int, int], doc_id: st
     release(spark)
     links = staged(_verified(pairs, sets, num, den), "links")
     found = connected(links)
-
-    told = members.join(found, members["set_id"] == found["node"]).groupBy("bucket") \
-        .applyInArrow(_tell, "bucket int, told binary")
-    more = groups.join(told, "bucket", "left").select("payload", "told") \
-        .mapInArrow(_crossings(bands), "a long, b long").distinct()
-    extra = staged(_verified(staged(more, "pairs"), sets, num, den), "links")
-    if extra.limit(1).count():
-        found = connected(links.union(extra))
+    for turn in range(STAR_ROUNDS):
+        told = members.join(found, members["set_id"] == found["node"]).groupBy("bucket") \
+            .applyInArrow(_tell, "bucket int, told binary")
+        meet = _stars(bands) if turn < STAR_ROUNDS - 1 else _crossings(bands)
+        more = groups.join(told, "bucket", "left").select("payload", "told") \
+            .mapInArrow(meet, "a long, b long").distinct()
+        extra = staged(_verified(staged(more, "pairs"), sets, num, den), "links")
+        if extra.limit(1).count():
+            links = links.union(extra)
+            found = connected(links)
     named = known.join(found, known["set_id"] == found["node"], "left") \
         .select("set_id", "first_id", F.coalesce("component", "set_id").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
