@@ -8,7 +8,6 @@ one row per token.
 
 from __future__ import annotations
 
-import gc
 import pickle
 import uuid
 from pathlib import Path
@@ -17,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orderlake.session import ensure_checkpoint_dir
 
@@ -40,28 +38,26 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting to remove a query's shuffle files when the query has ended.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps re-read files, so a
-    lost executor costs no recomputation."""
+    lost executor costs no recomputation, and the shuffle files of the write are not needed
+    any more and go at its end."""
     spark = df.sparkSession
     path = scratch(spark, label)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of steps whose results are staged by now: its
-    cleaner acts when the driver collects the garbage that refers to them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def text_bytes(docs: DataFrame, column: str = "text") -> int:
-    """UTF-8 bytes of a text column over the whole table."""
-    return docs.agg(F.sum(F.octet_length(F.col(column))).alias("b")).first()["b"] or 0
-
-
 def parts_for(total_bytes: int, part_bytes: int, least: int = 4) -> int:
     """How many parts of at most about ``part_bytes`` hold ``total_bytes``."""
     return max(least, -(-total_bytes // part_bytes))

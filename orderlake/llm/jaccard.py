@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.common import flat, mix, pack, pieces, release, staged, unpack, word_hashes
+from orderlake.llm.common import flat, mix, pack, pieces, staged, unpack, word_hashes
 
 #: Pieces (8 bytes each) that a bucket takes in, about.
 BUCKET_PIECES = 1_500_000
@@ -407,7 +407,6 @@ def classes(docs: DataFrame, words: int, similarity: tuple[int, int], doc_id: st
     groups = staged(docs.mapInArrow(_send(bands, plan, words), "bucket int, payload binary")
                     .repartition(buckets, "bucket").sortWithinPartitions("bucket")
                     .mapInArrow(_find_groups, "bucket int, payload binary"), "sketch-groups")
-    release(spark)
     pairs = staged(groups.mapInArrow(_stars(bands), "a long, b long").distinct(), "pairs")
     # every class of a group, with the bucket it is in
     members = staged(groups.mapInArrow(_members, "bucket int, set_id long"), "members")
@@ -415,7 +414,6 @@ def classes(docs: DataFrame, words: int, similarity: tuple[int, int], doc_id: st
     # whole sets of these classes only, from one text each
     asked = members.select("set_id").distinct()
     sets = staged(_whole_sets(docs, rows, asked, words), "whole-sets")
-    release(spark)
     links = staged(_verified(pairs, sets, num, den), "links")
     found = connected(links)
     for turn in range(STAR_ROUNDS):

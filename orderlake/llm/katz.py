@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import (flat, mix, pack, parts_for, pieces, release, staged, unpack,
+from orderlake.llm.common import (flat, mix, pack, parts_for, pieces, staged, unpack,
                                   word_hashes)
 
 #: Hash that stands for the end token; a word gets it with probability 2^-64.
@@ -340,7 +340,6 @@ def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .sortWithinPartitions("bucket", "chunk")
     counted = staged(dealt.mapInArrow(count, "key long, payload binary, kind string"),
                      "katz-counts", partition_by="kind")
-    release(spark)
 
     stats = counted.where("kind = 'stat'").select("payload").mapInArrow(
         _add_stats, "payload binary").coalesce(1).mapInArrow(_add_stats, "payload binary")

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.common import (flat, mix, pack, parts_for, pieces, prefix_hash, release,
+from orderlake.llm.common import (flat, mix, pack, parts_for, pieces, prefix_hash,
                                   span_hash, staged, unpack)
 
 #: Text bytes that one receiving task answers for.
@@ -543,7 +543,6 @@ def find_repeats(docs: DataFrame, length: int = 100, doc_id: str = "doc_id",
     first = staged(named.groupBy("tid", "n").agg(F.min("key").alias("key"), F.max("key").alias("top")), "texts")
     copies = named.join(first.where("top > key").select("tid", F.col("key").alias("first")), "tid") \
         .where((F.col("key") > F.col("first")) & (F.col("n") >= length)).select("key", "tid", "n")
-    release(spark)
 
     # each text meets what is told about it
     where = _part_of(F.col("tid"), parts)
@@ -557,7 +556,6 @@ def find_repeats(docs: DataFrame, length: int = 100, doc_id: str = "doc_id",
     runs = staged(notes.unionByName(texts).repartition(parts, "part").sortWithinPartitions("part", "kind")
                   .mapInArrow(_suffix_runs(length, k, parts), "kind int, part int, payload binary"),
                   "suffix-runs", partition_by="kind")
-    release(spark)
     splitters = _splitters(runs.where("kind = 0"), k, parts)
     merged = runs.where("kind = 0").select("payload").mapInArrow(
         _cut_runs(splitters), "part int, payload binary").repartition(parts, "part") \
