@@ -114,7 +114,7 @@ def _send_anchors(length: int, k: int, parts: int):
     of a batch for one part."""
 
     def run(batches):
-        for batch in pieces(batches, most=1 << 20):
+        for batch in pieces(batches, most=1 << 19):
             raw, off = flat(batch.column("text"))
             whole = raw.tobytes()
             keys = batch.column("key").to_pylist()
@@ -378,7 +378,7 @@ def _with_told(batches):
                 for tid, payload in zip(piece.column("tid").to_pylist(), piece.column("payload").to_pylist()):
                     told.setdefault(tid, []).append(unpack(payload))
                 continue
-            for p in pieces([piece], most=1 << 20):
+            for p in pieces([piece], most=1 << 19):
                 raw, off = flat(p.column("text"))
                 tids = p.column("tid").to_numpy(zero_copy_only=False)
                 lists = []
