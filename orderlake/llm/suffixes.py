@@ -432,8 +432,8 @@ def _cut_runs(splitters: list[bytes]):
     return run
 
 
-def _merge_range(length: int, k: int, hold: int = 12_000):
-    """Merge the runs of a range; yields packed repeats."""
+def _merge_range(length: int, k: int, parts_out: int, hold: int = 12_000):
+    """Merge the runs of a range; yields packed repeats by part."""
 
     def run(batches):
         for _, payloads in _runs(batches):
@@ -452,13 +452,13 @@ def _merge_range(length: int, k: int, hold: int = 12_000):
                         ready += group
                     group = []
                     if len(ready) >= hold:
-                        yield from _strings_around(ready, ids, lefts, length)
+                        yield from _dealt(_strings_around(ready, ids, lefts, length), parts_out)
                         ready = []
                 group.append((string, source, i))
             if len(group) > 1:
                 ready += group
             if ready:
-                yield from _strings_around(ready, ids, lefts, length)
+                yield from _dealt(_strings_around(ready, ids, lefts, length), parts_out)
 
     return run
 
@@ -473,7 +473,7 @@ def _strings_around(ready: list, ids, lefts, length: int):
     repeat, stay = _later(names, key, place)
     size = np.diff(off)
     if len(repeat):
-        yield _batch(payload=[pack(row_id(key[repeat], tid[repeat]), place[repeat], size[repeat])])
+        yield row_id(key[repeat], tid[repeat]), place[repeat], size[repeat]
     times = size[stay] - length + 1
     shift = np.arange(int(times.sum())) - np.repeat(np.concatenate(([0], np.cumsum(times)[:-1])), times)
     of = np.repeat(stay, times)
@@ -481,20 +481,20 @@ def _strings_around(ready: list, ids, lefts, length: int):
     strings = span_hash(prefix, start, start + length)
     repeat, _ = _later(strings, key[of], place[of] + shift)
     if len(repeat):
-        yield _batch(payload=[_joined(row_id(key[of][repeat], tid[of][repeat]), (place[of] + shift)[repeat], length)])
+        yield _joined(row_id(key[of][repeat], tid[of][repeat]), (place[of] + shift)[repeat], length)
 
 
-def _joined(rid: np.ndarray, place: np.ndarray, length: int) -> bytes:
-    """Packed intervals of single strings, neighbours joined."""
+def _joined(rid: np.ndarray, place: np.ndarray, length: int):
+    """(row ids, starts, sizes) of single strings, neighbours joined."""
     order = np.lexsort((place, rid))
     rid, place = rid[order], place[order]
     new = np.concatenate(([True], (rid[1:] != rid[:-1]) | (place[1:] > place[:-1] + length)))
     head = np.flatnonzero(new)
     tail = np.concatenate((head[1:], [len(rid)])) - 1
-    return pack(rid[head], place[head], place[tail] - place[head] + length)
+    return rid[head], place[head], place[tail] - place[head] + length
 
 
-def _merge_common(length: int):
+def _merge_common(length: int, parts_out: int):
     """Repeats among the strings around common anchors of one hash range."""
 
     def run(batches):
@@ -504,7 +504,7 @@ def _merge_common(length: int):
             key, tid, place = key.astype(np.int64), tid.astype(np.int64), place.astype(np.int64)
             repeat, _ = _later(names, key, place)
             if len(repeat):
-                yield _batch(payload=[_joined(row_id(key[repeat], tid[repeat]), place[repeat], length)])
+                yield from _dealt([_joined(row_id(key[repeat], tid[repeat]), place[repeat], length)], parts_out)
 
     return run
 
@@ -556,15 +556,17 @@ def find_repeats(docs: DataFrame, length: int = 100, doc_id: str = "doc_id",
     runs = staged(notes.unionByName(texts).repartition(parts, "part").sortWithinPartitions("part", "kind")
                   .mapInArrow(_suffix_runs(length, k, parts), "kind int, part int, payload binary"),
                   "suffix-runs", partition_by="kind")
+    made = "part int, payload binary"
     splitters = _splitters(runs.where("kind = 0"), k, parts)
     merged = runs.where("kind = 0").select("payload").mapInArrow(
         _cut_runs(splitters), "part int, payload binary").repartition(parts, "part") \
-        .sortWithinPartitions("part").mapInArrow(_merge_range(length, k), "payload binary")
+        .sortWithinPartitions("part").mapInArrow(_merge_range(length, k, parts), made)
     common = runs.where("kind = 1").select("part", "payload").repartition(parts, "part") \
-        .sortWithinPartitions("part").mapInArrow(_merge_common(length), "payload binary")
-    found = merged.unionByName(common).unionByName(runs.where("kind = 2").select("payload"))
-    found = found.unionByName(copies.mapInArrow(_whole_rows, "payload binary"))
-    return staged(found.mapInArrow(_deal(parts), "part int, payload binary"), "repeats"), parts
+        .sortWithinPartitions("part").mapInArrow(_merge_common(length, parts), made)
+    found = merged.unionByName(common) \
+        .unionByName(runs.where("kind = 2").select("payload").mapInArrow(_deal(parts), made)) \
+        .unionByName(copies.mapInArrow(_whole_rows(parts), made))
+    return staged(found, "repeats"), parts
 
 
 def _named_texts(rows: DataFrame, asked: DataFrame) -> DataFrame:
@@ -602,31 +604,37 @@ def _splitters(runs: DataFrame, k: int, ranges: int) -> list[bytes]:
     return sorted({got[len(got) * i // ranges] for i in range(1, ranges)}) if got else []
 
 
-def _whole_rows(batches):
-    for batch in batches:
-        if batch.num_rows:
-            key, tid, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "tid", "n"))
-            yield _batch(payload=[pack(row_id(key, tid), np.zeros(len(n), np.int64), n)])
+def _whole_rows(parts: int):
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                key, tid, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "tid", "n"))
+                yield from _dealt([(row_id(key, tid), np.zeros(len(n), np.int64), n)], parts)
 
+    return run
 
-def _deal(parts: int):
-    """Packed repeats by the part of their rows."""
 
+def _deal(parts: int):
     def run(batches):
         for batch in batches:
-            for payload in batch.column("payload").to_pylist():
-                rid, place, size = (x.astype(np.int64) for x in unpack(payload))
-                part = _by_part(mix(rid.view(np.uint64)), parts)
-                order = np.argsort(part, kind="stable")
-                cuts = np.searchsorted(part[order], np.arange(parts + 1))
-                for p in range(parts):
-                    mine = order[cuts[p]:cuts[p + 1]]
-                    if len(mine):
-                        yield _batch(part=[p], payload=[pack(rid[mine], place[mine], size[mine])])
+            yield from _dealt((unpack(p) for p in batch.column("payload").to_pylist()), parts)
 
     return run
 
 
+def _dealt(repeats, parts: int):
+    """Rows (part, payload) of repeats, by the part of the texts they are in."""
+    for found in repeats:
+        rid, place, size = (x.astype(np.int64) for x in found)
+        part = _by_part(mix(rid.view(np.uint64)), parts)
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        picks = [(p, order[cuts[p]:cuts[p + 1]]) for p in range(parts) if cuts[p + 1] > cuts[p]]
+        if picks:
+            yield _batch(part=[p for p, _ in picks],
+                         payload=[pack(rid[x], place[x], size[x]) for _, x in picks])
+
+
 def spans_of(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs (starts, ends) of overlapping or touching intervals."""
     order = np.argsort(begin, kind="stable")
