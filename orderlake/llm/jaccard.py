@@ -43,7 +43,7 @@ BUCKET_PIECES = 1_500_000
 #: 64-bit words of the dense sketch.
 DENSE = 16
 #: Rounds in which the classes of a group meet one of them, before all that are left meet.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 #: Code of a piece without a set bit, where such pieces are sent.
 EMPTY = np.uint64(1)
 
@@ -416,14 +416,14 @@ def classes(docs: DataFrame, words: int, similarity: tuple[int, int], doc_id: st
     sets = staged(_whole_sets(docs, rows, asked, words), "whole-sets")
     links = staged(_verified(pairs, sets, num, den), "links")
     found = connected(links)
-    for turn in range(STAR_ROUNDS):
+    for turn in range(1, STAR_ROUNDS + 1):
         told = members.join(found, members["set_id"] == found["node"]).groupBy("bucket") \
             .applyInArrow(_tell, "bucket int, told binary")
-        meet = _stars(bands) if turn < STAR_ROUNDS - 1 else _crossings(bands)
+        meet = _stars(bands) if turn < STAR_ROUNDS else _crossings(bands)
         more = groups.join(told, "bucket", "left").select("payload", "told") \
             .mapInArrow(meet, "a long, b long").distinct()
         extra = staged(_verified(staged(more, "pairs"), sets, num, den), "links")
-        if extra.limit(1).count():
+        if not extra.isEmpty():
             links = links.union(extra)
             found = connected(links)
     named = known.join(found, known["set_id"] == found["node"], "left") \
