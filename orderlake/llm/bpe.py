@@ -29,14 +29,16 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Pre-tokenizer pattern of the byte-level tokenizers (a fixed value).
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: A space that a plain split at spaces would put in the wrong piece.
 LOOSE_SPACE = re.compile(r" (?=\s|$)")
 #: Entries in each of two generations of the word cache of a Python worker.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 100_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -228,50 +230,37 @@ def read_spec(path: str) -> str:
         return f.read()
 
 
-def _batches(batch: pa.RecordBatch, rows: int = 256):
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
-
-
-def encode_documents(docs: DataFrame, vocabulary: str, keep: list[str],
-                     text: str = "text") -> DataFrame:
-    """``keep`` columns plus ``token_ids`` (binary, unsigned 32-bit little-endian).
-
-    A narrow map: no shuffle, texts stream through the workers in small batches.
-    """
-    shared = _shared(docs.sparkSession, vocabulary)
-    from pyspark.sql import types as T
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("token_ids", T.BinaryType())])
+def map_texts(docs: DataFrame, vocabulary: str, keep: list[str], made: T.StructType, make,
+              column: str = "text") -> DataFrame:
+    """``keep`` columns plus the columns ``made``, whose values ``make(bpe, value)`` gives as a
+    tuple for each value of ``column``.  A narrow map in one Python pass: no shuffle, values
+    stream through the workers in small batches."""
+    shared = docs.sparkSession.sparkContext.broadcast(read_spec(vocabulary))
+    schema = T.StructType([*(docs.schema[c] for c in keep), *made.fields])
+    kinds = [to_arrow_type(f.dataType) for f in made.fields]
 
     def run(batches):
         bpe = load(shared.value)
         for batch in batches:
-            for part in _batches(batch):
-                ids = [bpe.encode(t) for t in part.column("__text").to_pylist()]
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                rows = [make(bpe, v) for v in part.column("__value").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in keep), pa.array(ids, pa.binary())],
-                    [*keep, "token_ids"])
-
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, schema)
+                    [*(part.column(c) for c in keep),
+                     *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))],
+                    [f.name for f in schema.fields])
 
+    return docs.select(*keep, docs[column].alias("__value")).mapInArrow(run, schema)
 
-def decode_documents(encoded: DataFrame, vocabulary: str, keep: list[str]) -> DataFrame:
-    """``keep`` columns plus ``decoded`` (string) from a ``token_ids`` column."""
-    shared = _shared(encoded.sparkSession, vocabulary)
-    from pyspark.sql import types as T
-    schema = T.StructType([*(encoded.schema[c] for c in keep), T.StructField("decoded", T.StringType())])
-
-    def run(batches):
-        bpe = load(shared.value)
-        for batch in batches:
-            for part in _batches(batch):
-                out = [bpe.decode(i or b"") for i in part.column("token_ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in keep), pa.array(out, pa.string())],
-                    [*keep, "decoded"])
 
-    return encoded.select(*dict.fromkeys([*keep, "token_ids"])).mapInArrow(run, schema)
+def encode_documents(docs: DataFrame, vocabulary: str, keep: list[str],
+                     text: str = "text") -> DataFrame:
+    """``keep`` columns plus ``token_ids`` (binary, unsigned 32-bit little-endian)."""
+    return map_texts(docs, vocabulary, keep, T.StructType([T.StructField("token_ids", T.BinaryType())]),
+                     lambda bpe, t: (bpe.encode(t),), text)
 
 
-def _shared(spark: SparkSession, vocabulary: str):
-    return spark.sparkContext.broadcast(read_spec(vocabulary))
+def decode_documents(encoded: DataFrame, vocabulary: str, keep: list[str]) -> DataFrame:
+    """``keep`` columns plus ``decoded`` (string) from a ``token_ids`` column."""
+    return map_texts(encoded, vocabulary, keep, T.StructType([T.StructField("decoded", T.StringType())]),
+                     lambda bpe, ids: (bpe.decode(ids or b""),), "token_ids")

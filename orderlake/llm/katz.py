@@ -342,7 +342,7 @@ def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                      "katz-counts", partition_by="kind")
 
     stats = counted.where("kind = 'stat'").select("payload").mapInArrow(
-        _add_stats, "payload binary").coalesce(1).mapInArrow(_add_stats, "payload binary")
+        _add_stats, "payload binary")  # a row of 16 numbers per task
     got = [unpack(r["payload"]) for r in stats.collect()]
     grams, types, sums = ([sum(x) for x in zip(*(g[i].astype(np.int64) for g in got))] or
                           [0] * (CUTOFF + 3) for i in range(3))

@@ -5,9 +5,9 @@ from __future__ import annotations
 import hashlib
 import os
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlake.llm.common import importable, scratch, staged
 
@@ -30,22 +30,15 @@ def vocabulary() -> str:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
     from orderlake.llm import bpe
-    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(), ["doc_id"])
-    decoded = bpe.decode_documents(encoded, vocabulary(), ["doc_id", "token_ids"])
-    kind = decoded.schema["doc_id"].dataType.simpleString()
-
-    def digest(batches):
-        for b in batches:
-            ids = b.column("token_ids").to_pylist()
-            texts = b.column("decoded").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()),
-                 pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.mapInArrow(
-        digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+    def digest(codec, text):
+        ids = codec.encode(text)
+        return (len(ids) // 4, hashlib.sha256(ids).hexdigest(),
+                hashlib.sha256(codec.decode(ids).encode()).hexdigest())
+
+    made = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+                         T.StructField("decoded_sha256", T.StringType())])
+    return bpe.map_texts(table(spark, sf_dir, "documents"), vocabulary(), ["doc_id"], made, digest)
 
 
 def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
