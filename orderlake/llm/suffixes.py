@@ -109,32 +109,38 @@ def _batch(**columns) -> pa.RecordBatch:
         [pa.array(v, kinds.get(n, pa.int64())) for n, v in columns.items()], list(columns))
 
 
+def _name_rows(batches):
+    """(key, tid, n bytes) of each text."""
+    for batch in pieces(batches, most=1 << 20):
+        raw, off = flat(batch.column("text"))
+        whole = raw.tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key"), pa.array([text_id(whole[a:b]) for a, b in zip(off[:-1], off[1:])], pa.int64()),
+             pa.array(np.diff(off))], ["key", "tid", "n"])
+
+
 def _send_anchors(length: int, k: int, parts: int):
-    """Rows (part, kind, key, tid, n, payload): kind 0 names each text, kind 1 holds the anchors
-    of a batch for one part."""
+    """Rows (part, payload) with the anchors of a batch for one part."""
 
     def run(batches):
         for batch in pieces(batches, most=1 << 19):
             raw, off = flat(batch.column("text"))
-            whole = raw.tobytes()
-            keys = batch.column("key").to_pylist()
-            tids = np.array([text_id(whole[a:b]) for a, b in zip(off[:-1], off[1:])], np.int64)
-            n = len(keys)
-            yield _batch(part=np.full(n, -1, np.int32), kind=np.zeros(n, np.int32), key=keys, tid=tids,
-                         n=np.diff(off), payload=[None] * n)
             spot, _, _, grams, _ = anchors(raw, off, length, k)
             if not len(spot):
                 continue
+            whole = raw.tobytes()
+            tids = np.array([text_id(whole[a:b]) for a, b in zip(off[:-1], off[1:])], np.int64)
             text = np.searchsorted(off, spot, "right") - 1
             order = np.lexsort((text, grams))
             grams, text = grams[order], text[order]
             cuts = np.searchsorted(_by_part(grams, parts), np.arange(parts + 1))
+            packed = []
             for p in range(parts):
                 mine = slice(cuts[p], cuts[p + 1])
                 if mine.stop > mine.start:
                     used, at = np.unique(text[mine], return_inverse=True)
-                    yield _batch(part=[p], kind=[1], key=[None], tid=[None], n=[None],
-                                 payload=[pack(grams[mine], at, tids[used])])
+                    packed.append((p, pack(grams[mine], at, tids[used])))
+            yield _batch(part=[p for p, _ in packed], payload=[x for _, x in packed])
 
     return run
 
@@ -532,12 +538,9 @@ def find_repeats(docs: DataFrame, length: int = 100, doc_id: str = "doc_id",
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = parts_for(total, PART_BYTES)
 
-    sent = rows.mapInArrow(_send_anchors(length, k, parts),
-                           "part int, kind int, key long, tid long, n long, payload binary")
-    sent = staged(sent, "anchors", partition_by="kind")
-    named = sent.where("kind = 0").select("key", "tid", "n")
-    told = staged(sent.where("kind = 1").select("part", "payload").repartition(parts, "part")
-                  .sortWithinPartitions("part")
+    named = staged(rows.mapInArrow(_name_rows, "key long, tid long, n long"), "text-names")
+    told = staged(rows.mapInArrow(_send_anchors(length, k, parts), "part int, payload binary")
+                  .repartition(parts, "part").sortWithinPartitions("part")
                   .mapInArrow(_repeated_anchors(COMMON), "tid long, payload binary"), "anchors-again")
     # equal texts: the smallest doc_id takes part
     first = staged(named.groupBy("tid", "n").agg(F.min("key").alias("key"), F.max("key").alias("top")), "texts")
