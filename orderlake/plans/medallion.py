@@ -3,8 +3,9 @@
 The two jobs of the source pipeline, as functions instead of notebooks with widgets:
 
 * ``bronze_to_silver``: parse the bronze documents once and save every silver table with
-  ``save_with_merge`` (keyed upsert for tables with one row per order, replacement for
-  the others, which have no unique key);
+  ``save_with_merge``: keyed upsert for tables with one row per order; for tables with several
+  rows per order the rows of the batch's orders are replaced and all others stay; rates and
+  benefits have no order id, so their rows are appended;
 * ``silver_to_gold``: read the saved silver tables back from the catalog (S2), build the
   order summary and the KPI table, and save both (replacement: neither has a unique key).
 """
@@ -22,7 +23,7 @@ from orderlake.plans.summary import order_summary
 from orderlake.sources.ingest import parse_documents
 from orderlake.sources.upsert import save_with_merge
 
-# Tables with one row per order can be merged on the order id; the others are replaced.
+# Tables with one row per order are merged on the order id.
 ONE_ROW_PER_ORDER = ("orders", "client_profile", "store_preferences", "client_preferences",
                      "cancellation")
 
@@ -41,10 +42,13 @@ def bronze_to_silver(bronze: DataFrame, lake_path: str, database: str,
                        "documents")
     saved = {}
     for name in tables or tuple(BUILDERS):
+        rows = silver_table(docs, name)
         keys = ["order_id"] if name in ONE_ROW_PER_ORDER else None
-        saved[name] = save_with_merge(silver_table(docs, name),
-                                      f"{lake_path.rstrip('/')}/silver/{name}",
-                                      database, name, keys, load_date)
+        by_order = not keys and "order_id" in rows.columns
+        saved[name] = save_with_merge(rows, f"{lake_path.rstrip('/')}/silver/{name}",
+                                      database, name, keys, load_date,
+                                      replace_by=["order_id"] if by_order else None,
+                                      append=not keys and not by_order)
     return saved
 
 

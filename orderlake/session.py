@@ -20,17 +20,25 @@ SCALE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "orderlake") -> SparkSession:
-    """A session for tests and local runs; on a cluster, the cluster's own settings win."""
-    builder = SparkSession.builder.master(master).appName(app_name)
-    for key, value in SCALE_CONF.items():
-        builder = builder.config(key, value)
-    builder = (builder
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", os.environ.get("ORDERLAKE_DRIVER_MEM", "8g")))
+    """A session with ``SCALE_CONF``; settings given by spark-submit or the cluster win.
+
+    Without a submitted master the session is local, with 8 shuffle partitions."""
+    from pyspark import SparkConf
+    given = SparkConf()
+    wanted = {**SCALE_CONF, "spark.app.name": app_name, "spark.ui.enabled": "false",
+              "spark.ui.showConsoleProgress": "false"}
+    if master or not given.contains("spark.master"):
+        wanted |= {"spark.master": master or "local[*]",
+                   "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
+                   "spark.driver.memory": os.environ.get("ORDERLAKE_DRIVER_MEM", "8g")}
+    elif shuffle_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    builder = SparkSession.builder
+    for key, value in wanted.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -49,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="orderlake-ckpt-")
     sc.setCheckpointDir(scratch)
     return scratch

@@ -15,12 +15,12 @@ sees a half-written table and a failed job leaves the old version in place.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.functions.naming import snake_case_columns, to_snake_case
+from orderlake.operators.metrics import materialize
 
 
 def with_load_date(df: DataFrame, date: dt.date | None = None) -> DataFrame:
@@ -70,36 +70,90 @@ def merge_by_key(target: DataFrame, source: DataFrame, keys: list[str],
     return kept.unionByName(source.select(*target.columns))
 
 
+def replace_groups(target: DataFrame, source: DataFrame, columns: list[str]) -> DataFrame:
+    """``target`` without the groups (values of ``columns``) that ``source`` has, plus
+    ``source``: for tables with several rows per order.  A null group is never replaced."""
+    groups = source.select(*[F.col(c).alias(f"__src_{c}") for c in columns]).distinct()
+    cond = None
+    for c in columns:
+        part = target[c] == groups[f"__src_{c}"]
+        cond = part if cond is None else cond & part
+    return target.join(groups, cond, "left_anti").unionByName(source.select(*target.columns))
+
+
+def stored_versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, folder) of the complete versions of a table, oldest first: ``path`` itself is
+    version 0, later ones are ``path__v<number>``.  Told from storage, not from the catalog,
+    so another session's tables are found."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    if not fs.exists(at.getParent()):
+        return found
+    for status in fs.listStatus(at.getParent()):
+        folder = status.getPath()
+        base, _, number = folder.getName().partition("__v")
+        if base == at.getName() and (number.isdigit() or folder.getName() == base) \
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+            found.append((int(number or 0), folder.toString()))
+    return sorted(found)
+
+
+def _drop_versions(spark: SparkSession, versions: list[tuple[int, str]]) -> None:
+    for _, folder in versions:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def save_with_merge(df: DataFrame, path: str, database: str, table: str,
                     keys: list[str] | str | None, load_date: dt.date | None = None,
-                    null_safe: bool = False, fmt: str = "parquet") -> DataFrame:
+                    null_safe: bool = False, fmt: str = "parquet",
+                    replace_by: list[str] | None = None, append: bool = False,
+                    keep_versions: int = 2) -> DataFrame:
     """Snake-case the columns, stamp the load date, then create or merge.
 
-    First load: ``CREATE DATABASE IF NOT EXISTS`` and an external table at ``path``
-    (S4, S5).  Later loads: keyed upsert (S7) written to a new folder next to the
-    current one, then the table is re-pointed there (S6 decides between the two).
-    ``keys`` may be a list or comma-separated text; keys are snake-cased like the columns.
-    ``keys=None`` replaces the table's content instead (for tables without a unique key,
-    such as the two gold tables), with the same write-then-switch.
-    Returns the table as stored.
+    Whether this is the first load is told from ``path`` (S6): without a stored version the
+    rows are written there (S4, S5); otherwise a new version is written next to the last
+    one and the table is re-pointed at it, so a failed job leaves the last version in place.
+    ``keys`` (a list or comma-separated text, snake-cased like the columns) upserts by key (S7);
+    ``replace_by`` replaces the groups that the batch holds and keeps all others; ``append``
+    adds the rows; with none of them the batch replaces the content (the gold tables).
+    The batch is stored once before it is merged.  All but the last ``keep_versions`` versions
+    are removed after the switch.  Returns the table as stored.
     """
     spark = df.sparkSession
     if isinstance(keys, str):
         keys = [k.strip() for k in keys.split(",") if k.strip()]
     keys = [to_snake_case(k) for k in keys] if keys else []
     staged = with_load_date(snake_case_columns(df), load_date)
-    missing = [k for k in keys if k not in staged.columns]
+    missing = [k for k in [*keys, *(replace_by or [])] if k not in staged.columns]
     if missing:
         raise ValueError(f"merge keys {missing} are not columns of {staged.columns}")
     name = f"{database}.{table}"
+    path = path.rstrip("/")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    if not spark.catalog.tableExists(name):
-        staged.write.mode("overwrite").format(fmt).option("path", path).saveAsTable(name)
-        return spark.table(name)
-    result = (merge_by_key(spark.table(name), staged, keys, null_safe=null_safe)
-              if keys else staged)
-    new_path = f"{path.rstrip('/')}__v{uuid.uuid4().hex[:12]}"
-    result.write.mode("errorifexists").format(fmt).save(new_path)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_path}'")
+    versions = stored_versions(spark, path)
+    if not versions:
+        staged.write.mode("overwrite").format(fmt).save(path)  # nothing complete is there
+        place = path
+    else:
+        number, last = versions[-1]
+        if keys or replace_by or append:
+            staged = materialize(staged, "batch")
+            target = spark.read.format(fmt).schema(staged.schema).load(last)
+            if keys:
+                staged = merge_by_key(target, staged, keys, null_safe=null_safe)
+            elif replace_by:
+                staged = replace_groups(target, staged, replace_by)
+            else:
+                staged = target.unionByName(staged)
+        place = f"{path}__v{number + 1}"
+        staged.write.mode("overwrite").format(fmt).save(place)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+    else:
+        spark.catalog.createTable(name, path=place, source=fmt)
     spark.catalog.refreshTable(name)
+    _drop_versions(spark, versions[:len(versions) + 1 - keep_versions] if keep_versions > 0 else [])
     return spark.table(name)

@@ -25,3 +25,16 @@ def test_bronze_to_silver_to_gold(spark, tmp_path):
     assert len(gold["order_summary"].columns) == 23          # 22 + load_date
     assert gold["order_summary"].count() == E.entry(spark).count()
     assert gold["kpi_table"].count() > 0
+
+
+def test_two_batches_leave_the_rows_of_both(spark, tmp_path):
+    from pyspark.sql import functions as F
+    bronze = bronze_from_dir(spark, SF)
+    number = F.xxhash64("orderDetails") % 2
+    lake = str(tmp_path / "lake2")
+    names = ("orders", "items", "payment", "shipping_data", "totals")
+    whole = bronze_to_silver(bronze, str(tmp_path / "whole"), "ol_whole", tables=names, load_date=DAY)
+    bronze_to_silver(bronze.where(number == 0), lake, "ol_parts", tables=names, load_date=DAY)
+    parts = bronze_to_silver(bronze.where(number != 0), lake, "ol_parts", tables=names, load_date=DAY)
+    for name in names:
+        assert parts[name].count() == whole[name].count() > 0, name

@@ -1,27 +1,21 @@
-"""Snake-case renaming (P1), after the source's own unit tests."""
+"""Snake-case renaming (P1) on order columns."""
 
 import pytest
 
 from orderlake.functions.naming import snake_case_columns, to_snake_case
 
 
-def test_camel_case_columns(spark):
-    df = spark.createDataFrame([("ana", 1), ("ben", 2)], ["FirstName", "LastName"])
-    assert snake_case_columns(df).columns == ["first_name", "last_name"]
-
-
-def test_empty_dataframe(spark):
-    df = spark.createDataFrame([], schema="FirstName STRING, LastName STRING")
+def test_order_columns_keep_their_order_and_values(spark):
+    df = spark.sql("SELECT 'o1' AS orderId, 250 AS listPrice, true AS isGift, 'x' AS origin")
     out = snake_case_columns(df)
-    assert out.columns == ["first_name", "last_name"]
-    assert out.count() == 0
+    assert out.columns == ["order_id", "list_price", "is_gift", "origin"]
+    assert tuple(out.first()) == ("o1", 250, True, "x")
 
 
-def test_already_snake_case(spark):
-    df = spark.createDataFrame([("ana", 1), ("ben", 2)], ["first_name", "last_name"])
-    out = snake_case_columns(df)
-    assert out.columns == ["first_name", "last_name"]
-    assert sorted(out.collect()) == sorted(df.collect())
+def test_no_rows_and_no_change(spark):
+    none = spark.sql("SELECT 1 AS sellingPrice WHERE false")
+    assert snake_case_columns(none).columns == ["selling_price"] and none.isEmpty()
+    assert snake_case_columns(spark.sql("SELECT 1 AS unit_price")).columns == ["unit_price"]
 
 
 @pytest.mark.parametrize("name,expected", [

@@ -1,34 +1,45 @@
-"""Load date, keyed merge and save-with-merge (S4-S9), after the source's unit tests."""
+"""Load date, keyed merge and save-with-merge (S4-S9), on order rows."""
 
 import datetime as dt
 
 import pytest
 
-from orderlake.sources.upsert import merge_by_key, save_with_merge, with_load_date
+from orderlake.sources.upsert import merge_by_key, save_with_merge, stored_versions, with_load_date
 
 DAY = dt.date(2024, 1, 1)
 
 
-def test_save_new_table_registers_it(spark, tmp_path):
-    df = spark.createDataFrame([("ana", 1), ("ben", 2)], ["FirstName", "LastName"])
-    save_with_merge(df, str(tmp_path / "t1"), "ol_db", "test_table_new", ["FirstName"], DAY)
-    names = [t.name for t in spark.catalog.listTables("ol_db")]
-    assert "test_table_new" in names
-
-
-def test_save_existing_table_merges(spark, tmp_path):
-    cols = ["FirstName", "LastName"]
-    first = spark.createDataFrame([("ana", 1), ("ben", 2)], cols)
-    second = spark.createDataFrame([("ana", 3), ("Cleo", 4)], cols)
-    path = str(tmp_path / "t2")
-    save_with_merge(first, path, "ol_db", "test_table_merge", ["FirstName"], DAY)
-    out = save_with_merge(second, path, "ol_db", "test_table_merge", "FirstName", DAY)
-    got = sorted((r.first_name, r.last_name) for r in out.collect())
-    assert got == sorted([("ana", 3), ("ben", 2), ("Cleo", 4)])
-    assert set(out.columns) == {"first_name", "last_name", "load_date"}
-    # the catalog now points at the merged version
-    again = spark.table("ol_db.test_table_merge")
-    assert again.count() == 3
+def _orders(spark, *rows):
+    return spark.createDataFrame(list(rows), "orderId STRING, orderValue INT")
+
+
+def test_save_inserts_updates_and_keeps(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    save_with_merge(_orders(spark, ("o1", 100), ("o2", 250), (None, 5)), path, "ol_db", "orders_t", ["orderId"], DAY)
+    assert spark.catalog.tableExists("ol_db.orders_t")
+    out = save_with_merge(_orders(spark, ("o2", 275), ("o9", 40), (None, 6)), path, "ol_db", "orders_t", "orderId", DAY)
+    assert out.columns == ["order_id", "order_value", "load_date"]
+    got = sorted((str(r.order_id), r.order_value) for r in out.collect())
+    assert got == [("None", 5), ("None", 6), ("o1", 100), ("o2", 275), ("o9", 40)]
+
+
+def test_target_is_found_by_path_and_old_versions_go(spark, tmp_path):
+    path = str(tmp_path / "by_path")
+    for i in range(4):
+        save_with_merge(_orders(spark, (f"o{i}", i)), path, "ol_db", "by_path", ["orderId"], DAY)
+        spark.sql("DROP TABLE ol_db.by_path")  # what another session's catalog knows: nothing
+    out = save_with_merge(_orders(spark, ("o0", 9)), path, "ol_db", "by_path", ["orderId"], DAY)
+    assert sorted((r.order_id, r.order_value) for r in out.collect()) == [("o0", 9), ("o1", 1), ("o2", 2), ("o3", 3)]
+    assert [n for n, _ in stored_versions(spark, path)] == [3, 4]
+
+
+def test_groups_of_the_batch_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    first = _orders(spark, ("o1", 1), ("o1", 2), ("o2", 3))
+    save_with_merge(first, path, "ol_db", "lines_t", None, DAY, replace_by=["order_id"])
+    out = save_with_merge(_orders(spark, ("o1", 7), ("o3", 8), ("o3", 8)), path, "ol_db", "lines_t", None, DAY,
+                          replace_by=["order_id"])
+    assert sorted((r.order_id, r.order_value) for r in out.collect()) == [("o1", 7), ("o2", 3), ("o3", 8), ("o3", 8)]
 
 
 def test_merge_cases(spark):
