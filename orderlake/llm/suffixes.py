@@ -87,7 +87,8 @@ def anchors(raw: np.ndarray, off: np.ndarray, length: int, k: int):
     # a run: neighbouring starts with one anchor (in one text, as invalid starts part texts)
     new = np.flatnonzero(np.concatenate(([True], (spot[1:] != spot[:-1]) | (starts[1:] != starts[:-1] + 1))))
     last = np.concatenate((new[1:], [len(starts)])) - 1
-    return spot[new], starts[new], starts[last] + 1, grams[spot[new]], prefix
+    # anchors have small hashes; mixed again they spread over all parts
+    return spot[new], starts[new], starts[last] + 1, mix(grams[spot[new]]), prefix
 
 
 def text_id(raw: bytes) -> int:
