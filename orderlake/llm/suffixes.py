@@ -44,7 +44,7 @@ from orderlake.llm.common import (flat, mix, pack, parts_for, pieces, prefix_has
                                   span_hash, staged, unpack)
 
 #: Text bytes that one receiving task answers for.
-PART_BYTES = 24 << 20
+PART_BYTES = 10 << 20
 #: Texts that share an anchor from which on its strings are spread by hash.
 COMMON = 3000
 #: Sampled k-grams per range.
@@ -124,7 +124,7 @@ def _send_anchors(length: int, k: int, parts: int):
     """Rows (part, payload) with the anchors of a batch for one part."""
 
     def run(batches):
-        for batch in pieces(batches, most=1 << 19):
+        for batch in pieces(batches, most=1 << 18):
             raw, off = flat(batch.column("text"))
             spot, _, _, grams, _ = anchors(raw, off, length, k)
             if not len(spot):
@@ -385,7 +385,7 @@ def _with_told(batches):
                 for tid, payload in zip(piece.column("tid").to_pylist(), piece.column("payload").to_pylist()):
                     told.setdefault(tid, []).append(unpack(payload))
                 continue
-            for p in pieces([piece], most=1 << 19):
+            for p in pieces([piece], most=1 << 18):
                 raw, off = flat(p.column("text"))
                 tids = p.column("tid").to_numpy(zero_copy_only=False)
                 lists = []
@@ -439,7 +439,7 @@ def _cut_runs(splitters: list[bytes]):
     return run
 
 
-def _merge_range(length: int, k: int, parts_out: int, hold: int = 12_000):
+def _merge_range(length: int, k: int, parts_out: int, hold: int = 6_000):
     """Merge the runs of a range; yields packed repeats by part."""
 
     def run(batches):
