@@ -301,8 +301,8 @@ def _g1(spark, sf_dir):
     return L.gold1_inputs(spark, sf_dir)
 
 
-@register("gold1_order_id_groups", O.gold1_sql(
-    "SELECT count(*) AS order_id_groups FROM (SELECT DISTINCT order_id FROM s_orders)"))
+@register("gold1_order_id_groups", O.gold1_plain(
+    "SELECT count(*) AS order_id_groups FROM (SELECT DISTINCT order_id FROM {orders})"))
 def q_g1_order_id_groups(spark, sf_dir):
     return S.order_id_groups(_g1(spark, sf_dir)["orders"])
 
@@ -312,81 +312,81 @@ def _orders_m(spark, sf_dir):
 
 
 @register("gold1_fulfillment_time", O.gold1_sql(
-    "SELECT order_id, fulfillment_time FROM o4"))
+    "orders", ["order_id", "fulfillment_time"]))
 def q_g1_fulfillment_time(spark, sf_dir):
     return _orders_m(spark, sf_dir).select("order_id", "fulfillment_time")
 
 
 @register("gold1_order_status_count", O.gold1_sql(
-    "SELECT order_id, status, order_status_count FROM o4"))
+    "orders", ["order_id", "status", "order_status_count"]))
 def q_g1_order_status_count(spark, sf_dir):
     return _orders_m(spark, sf_dir).select("order_id", "status", "order_status_count")
 
 
 @register("gold1_total_orders_per_channel", O.gold1_sql(
-    "SELECT order_id, sales_channel, total_orders_per_channel FROM o4"))
+    "orders", ["order_id", "sales_channel", "total_orders_per_channel"]))
 def q_g1_orders_per_channel(spark, sf_dir):
     return _orders_m(spark, sf_dir).select("order_id", "sales_channel",
                                            "total_orders_per_channel")
 
 
 @register("gold1_total_sales_value_per_channel", O.gold1_sql(
-    "SELECT order_id, sales_channel, total_sales_value_per_channel FROM o4"))
+    "orders", ["order_id", "sales_channel", "total_sales_value_per_channel"]))
 def q_g1_sales_per_channel(spark, sf_dir):
     return _orders_m(spark, sf_dir).select("order_id", "sales_channel",
                                            "total_sales_value_per_channel")
 
 
-@register("gold1_payment_methods", O.gold1_sql(
-    "SELECT DISTINCT payment_system_name FROM p0"))
+@register("gold1_payment_methods", O.gold1_plain(
+    "SELECT DISTINCT payment_system_name FROM {payment}"))
 def q_g1_payment_methods(spark, sf_dir):
     return S.payment_methods(_g1(spark, sf_dir)["payment"])
 
 
 @register("gold1_payment_method_usage_count", O.gold1_sql(
-    "SELECT order_id, payment_system_name, payment_method_usage_count FROM p2"))
+    "payment", ["order_id", "payment_system_name", "payment_method_usage_count"]))
 def q_g1_payment_usage(spark, sf_dir):
     return S.payment_metrics(_g1(spark, sf_dir)["payment"]).select(
         "order_id", "payment_system_name", "payment_method_usage_count")
 
 
 @register("gold1_payment_method_total_value", O.gold1_sql(
-    "SELECT order_id, payment_system_name, payment_method_total_value FROM p2"))
+    "payment", ["order_id", "payment_system_name", "payment_method_total_value"]))
 def q_g1_payment_total(spark, sf_dir):
     return S.payment_metrics(_g1(spark, sf_dir)["payment"]).select(
         "order_id", "payment_system_name", "payment_method_total_value")
 
 
 @register("gold1_shipping_cost", O.gold1_sql(
-    "SELECT order_id, price, avg_shipping_cost, total_shipping_cost FROM s2"))
+    "shipping_data", ["order_id", "price", "avg_shipping_cost", "total_shipping_cost"]))
 def q_g1_shipping_cost(spark, sf_dir):
     return S.shipping_metrics(_g1(spark, sf_dir)["shipping_data"]).select(
         "order_id", "price", "avg_shipping_cost", "total_shipping_cost")
 
 
 @register("gold1_total_quantity_sold", O.gold1_sql(
-    "SELECT order_id, unique_id, total_quantity_sold FROM i2"))
+    "items", ["order_id", "unique_id", "total_quantity_sold"]))
 def q_g1_quantity(spark, sf_dir):
     return S.item_metrics(_g1(spark, sf_dir)["items"]).select(
         "order_id", "unique_id", "total_quantity_sold")
 
 
 @register("gold1_total_sales_value", O.gold1_sql(
-    "SELECT order_id, unique_id, total_sales_value FROM i2"))
+    "items", ["order_id", "unique_id", "total_sales_value"]))
 def q_g1_sales_value(spark, sf_dir):
     return S.item_metrics(_g1(spark, sf_dir)["items"]).select(
         "order_id", "unique_id", "total_sales_value")
 
 
 @register("gold1_cancel_reason_count", O.gold1_sql(
-    "SELECT order_id, cancel_reason, cancel_reason_count, is_return FROM c3"))
+    "cancellation", ["order_id", "cancel_reason", "cancel_reason_count", "is_return"]))
 def q_g1_cancel(spark, sf_dir):
     return S.cancellation_metrics(_g1(spark, sf_dir)["cancellation"]).select(
         "order_id", "cancel_reason", "cancel_reason_count", "is_return")
 
 
 @register("gold1_return_count", O.gold1_sql(
-    "SELECT order_id, product_id, return_count FROM i3"))
+    "items", ["order_id", "product_id", "return_count"]))
 def q_g1_return_count(spark, sf_dir):
     s = _g1(spark, sf_dir)
     items_m = S.item_metrics(s["items"])
@@ -395,14 +395,14 @@ def q_g1_return_count(spark, sf_dir):
 
 
 @register("gold1_total_orders_per_customer", O.gold1_sql(
-    "SELECT order_id, total_orders_per_customer, is_repeat_customer FROM cust"))
+    "client_profile", ["order_id", "total_orders_per_customer", "is_repeat_customer"]))
 def q_g1_customers(spark, sf_dir):
     s = _g1(spark, sf_dir)
     return S.customer_order_counts(s["orders"], s["client_profile"]).select(
         "order_id", "total_orders_per_customer", "is_repeat_customer")
 
 
-@register("order_summary", O.gold1_sql("SELECT * FROM summary"))
+@register("order_summary", O.order_summary_sql())
 def q_order_summary(spark, sf_dir):
     return S.order_summary(_g1(spark, sf_dir), prepared=True)
 
@@ -416,36 +416,36 @@ def _g2(spark, sf_dir):
 
 
 @register("gold2_total_quantity_sold", O.gold2_sql(
-    "SELECT order_id, unique_id, product_id, total_quantity_sold FROM i4"))
+    "items", ["order_id", "unique_id", "product_id", "total_quantity_sold"]))
 def q_g2_quantity(spark, sf_dir):
     return K.product_metrics(_g2(spark, sf_dir)["items"]).select(
         "order_id", "unique_id", "product_id", "total_quantity_sold")
 
 
 @register("gold2_total_sales_value", O.gold2_sql(
-    "SELECT order_id, unique_id, product_id, total_sales_value FROM i4"))
+    "items", ["order_id", "unique_id", "product_id", "total_sales_value"]))
 def q_g2_sales(spark, sf_dir):
     return K.product_metrics(_g2(spark, sf_dir)["items"]).select(
         "order_id", "unique_id", "product_id", "total_sales_value")
 
 
 @register("gold2_average_price", O.gold2_sql(
-    "SELECT order_id, unique_id, product_id, average_price FROM i4"))
+    "items", ["order_id", "unique_id", "product_id", "average_price"]))
 def q_g2_avg_price(spark, sf_dir):
     return K.product_metrics(_g2(spark, sf_dir)["items"]).select(
         "order_id", "unique_id", "product_id", "average_price")
 
 
-@register("gold2_order_metrics", O.gold2_sql(
-    "SELECT total_orders, completed_orders, cancelled_orders AS canceled_orders, "
-    "total_order_value, average_order_value, fulfillment_rate, cancellation_rate FROM kpis"))
+@register("gold2_order_metrics", O.order_kpi_sql(
+    ["total_orders", "completed_orders", "canceled_orders", "total_order_value",
+     "average_order_value", "fulfillment_rate", "cancellation_rate"]))
 def q_g2_order_metrics(spark, sf_dir):
     return K.order_kpis(_g2(spark, sf_dir)["orders"]).withColumnRenamed(
         "cancelled_orders", "canceled_orders")
 
 
-@register("gold2_distinct_customers", O.gold2_sql(
-    "SELECT count(*) AS distinct_customers FROM (SELECT DISTINCT email FROM s_client_profile)"))
+@register("gold2_distinct_customers", O.gold2_plain(
+    "SELECT count(*) AS distinct_customers FROM (SELECT DISTINCT email FROM {client_profile})"))
 def q_g2_distinct_customers(spark, sf_dir):
     return K.distinct_customers(_g2(spark, sf_dir)["client_profile"])
 
@@ -456,24 +456,24 @@ def _customers(spark, sf_dir):
 
 
 @register("gold2_customer_lifetime_value", O.gold2_sql(
-    "SELECT order_id, email, customer_lifetime_value FROM j3"))
+    "client_profile", ["order_id", "email", "customer_lifetime_value"]))
 def q_g2_clv(spark, sf_dir):
     return _customers(spark, sf_dir).select("order_id", "email", "customer_lifetime_value")
 
 
 @register("gold2_total_orders_per_customer", O.gold2_sql(
-    "SELECT order_id, email, total_orders_per_customer FROM j3"))
+    "client_profile", ["order_id", "email", "total_orders_per_customer"]))
 def q_g2_orders_per_customer(spark, sf_dir):
     return _customers(spark, sf_dir).select("order_id", "email", "total_orders_per_customer")
 
 
 @register("gold2_average_items_per_order", O.gold2_sql(
-    "SELECT order_id, email, average_items_per_order FROM j3"))
+    "client_profile", ["order_id", "email", "average_items_per_order"]))
 def q_g2_items_per_order(spark, sf_dir):
     return _customers(spark, sf_dir).select("order_id", "email", "average_items_per_order")
 
 
-@register("kpi_table", O.gold2_sql("SELECT * FROM kpi"))
+@register("kpi_table", O.kpi_table_sql())
 def q_kpi_table(spark, sf_dir):
     return K.kpi_table(_g2(spark, sf_dir), LOAD_DATE)
 
@@ -501,14 +501,14 @@ def _customers_m(spark, sf_dir):
     return S.customer_order_counts(s["orders"], s["client_profile"])
 
 
-for _name, _src, _cols, _cte in [
-    ("gold1_avg_shipping_cost", _shipping_m, ["order_id", "avg_shipping_cost"], "s2"),
-    ("gold1_total_shipping_cost", _shipping_m, ["order_id", "total_shipping_cost"], "s2"),
-    ("gold1_cancel_reason", _cancellation_m, ["order_id", "cancel_reason"], "c3"),
-    ("gold1_is_return", _cancellation_m, ["order_id", "cancellation_date", "is_return"], "c3"),
-    ("gold1_is_repeat_customer", _customers_m, ["order_id", "is_repeat_customer"], "cust"),
+for _name, _src, _cols, _table in [
+    ("gold1_avg_shipping_cost", _shipping_m, ["order_id", "avg_shipping_cost"], "shipping_data"),
+    ("gold1_total_shipping_cost", _shipping_m, ["order_id", "total_shipping_cost"], "shipping_data"),
+    ("gold1_cancel_reason", _cancellation_m, ["order_id", "cancel_reason"], "cancellation"),
+    ("gold1_is_return", _cancellation_m, ["order_id", "cancellation_date", "is_return"], "cancellation"),
+    ("gold1_is_repeat_customer", _customers_m, ["order_id", "is_repeat_customer"], "client_profile"),
 ]:
-    register(_name, O.gold1_sql(f"SELECT {', '.join(_cols)} FROM {_cte}"))(
+    register(_name, O.gold1_sql(_table, _cols))(
         _projection(_src, _cols))
 
 
@@ -517,12 +517,6 @@ def _order_kpis(spark, sf_dir):
         "cancelled_orders", "canceled_orders")
 
 
-for _col, _sql_col in [("total_orders", "total_orders"),
-                       ("completed_orders", "completed_orders"),
-                       ("canceled_orders", "cancelled_orders AS canceled_orders"),
-                       ("total_order_value", "total_order_value"),
-                       ("average_order_value", "average_order_value"),
-                       ("fulfillment_rate", "fulfillment_rate"),
-                       ("cancellation_rate", "cancellation_rate")]:
-    register(f"gold2_{_col}", O.gold2_sql(f"SELECT {_sql_col} FROM kpis"))(
-        _projection(_order_kpis, [_col]))
+for _col in ["total_orders", "completed_orders", "canceled_orders", "total_order_value",
+             "average_order_value", "fulfillment_rate", "cancellation_rate"]:
+    register(f"gold2_{_col}", O.order_kpi_sql([_col]))(_projection(_order_kpis, [_col]))

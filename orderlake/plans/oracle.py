@@ -401,151 +401,179 @@ def silver_sql(table: str) -> str:
 
 
 # ---------------------------------------------------------------------------
-# Gold 1: order summary
+# Gold metrics, each from its own definition
 # ---------------------------------------------------------------------------
 
-_GOLD1 = """
-o4 AS (
-  SELECT *, CAST(datediff('day', creation_date, authorized_date) AS INTEGER) AS fulfillment_time,
-    count(order_id) OVER (PARTITION BY status) AS order_status_count,
-    count(order_id) OVER (PARTITION BY sales_channel) AS total_orders_per_channel,
-    CAST(sum(value) OVER (PARTITION BY sales_channel) AS BIGINT) AS total_sales_value_per_channel
-  FROM s_orders
-),
-p0 AS (SELECT DISTINCT * FROM s_payment),
-p2 AS (
-  SELECT p0.*,
-    count(order_id) OVER (PARTITION BY p0.payment_system_name) AS payment_method_usage_count,
-    g.payment_method_total_value
-  FROM p0 LEFT JOIN (
-    SELECT payment_system_name, CAST(sum(value) AS BIGINT) AS payment_method_total_value
-    FROM p0 GROUP BY payment_system_name) g
-  ON p0.payment_system_name = g.payment_system_name
-),
-s2 AS (
-  SELECT *, avg(price) OVER () AS avg_shipping_cost,
-    CAST(sum(price) OVER () AS BIGINT) AS total_shipping_cost
-  FROM (SELECT DISTINCT * FROM s_shipping)
-),
-i0 AS (SELECT DISTINCT * FROM s_items),
-i2 AS (
-  SELECT i0.*, q.total_quantity_sold,
-    CAST(i0.items_quantity AS BIGINT) * i0.selling_price AS total_sales_value
-  FROM i0 LEFT JOIN (
-    SELECT unique_id, CAST(sum(items_quantity) AS BIGINT) AS total_quantity_sold
-    FROM i0 GROUP BY unique_id) q
-  ON i0.unique_id = q.unique_id
-),
-c3 AS (
-  SELECT *, reason AS cancel_reason,
-    count(CASE WHEN reason IS NOT NULL THEN order_id END) OVER (PARTITION BY reason)
-      AS cancel_reason_count,
-    CASE WHEN cancellation_date IS NULL THEN 0 ELSE 1 END AS is_return
-  FROM (SELECT DISTINCT * FROM s_cancellation)
-),
-i3 AS (
-  SELECT i2.*, r.return_count
-  FROM i2 LEFT JOIN (
-    SELECT i2.product_id, count(*) AS return_count
-    FROM c3 JOIN i2 ON c3.order_id = i2.order_id GROUP BY i2.product_id) r
-  ON i2.product_id = r.product_id
-),
-cp AS (SELECT DISTINCT * FROM s_client_profile),
-cust AS (
-  SELECT cp.order_id, n.total_orders_per_customer,
-    CASE WHEN n.total_orders_per_customer > 1 THEN 1 ELSE 0 END AS is_repeat_customer
-  FROM cp LEFT JOIN (
-    SELECT cp.user_profile_id, count(cp.order_id) AS total_orders_per_customer
-    FROM o4 JOIN cp ON o4.order_id = cp.order_id GROUP BY cp.user_profile_id) n
-  ON cp.user_profile_id = n.user_profile_id
-),
-summary AS (
-  SELECT order_id, fulfillment_time, payment_system_name, payment_method_usage_count,
-    payment_method_total_value, avg_shipping_cost, total_shipping_cost, product_id,
-    total_quantity_sold, total_sales_value, cancel_reason, cancel_reason_count,
-    is_return, return_count, email, total_orders_per_customer, is_repeat_customer,
-    status, order_status_count, sales_channel, total_orders_per_channel,
-    total_sales_value_per_channel
-  FROM (SELECT order_id, fulfillment_time, status, order_status_count, sales_channel,
-               total_orders_per_channel, total_sales_value_per_channel FROM o4) a
-  FULL OUTER JOIN (SELECT order_id, payment_system_name, payment_method_usage_count,
-                          payment_method_total_value FROM p2) b USING (order_id)
-  FULL OUTER JOIN (SELECT order_id, avg_shipping_cost, total_shipping_cost FROM s2) c
-    USING (order_id)
-  FULL OUTER JOIN (SELECT order_id, product_id, total_quantity_sold, total_sales_value,
-                          return_count FROM i3) d USING (order_id)
-  FULL OUTER JOIN (SELECT order_id, cancel_reason, cancel_reason_count, is_return FROM c3) e
-    USING (order_id)
-  FULL OUTER JOIN (SELECT order_id, email FROM cp) f USING (order_id)
-  FULL OUTER JOIN (SELECT order_id, total_orders_per_customer, is_repeat_customer FROM cust) g
-    USING (order_id)
-)"""
+# metric: (rows the aggregate reads, key, aggregate, whether null keys are a group too)
+_GOLD1_PER_KEY = {
+    "order_status_count": ("{orders}", "status", "count(order_id)", True),
+    "total_orders_per_channel": ("{orders}", "sales_channel", "count(order_id)", True),
+    "total_sales_value_per_channel":
+        ("{orders}", "sales_channel", "CAST(sum(value) AS BIGINT)", True),
+    "payment_method_usage_count":
+        ("{payment}", "payment_system_name", "count(order_id)", True),
+    "payment_method_total_value":
+        ("{payment}", "payment_system_name", "CAST(sum(value) AS BIGINT)", False),
+    "total_quantity_sold":
+        ("{items}", "unique_id", "CAST(sum(items_quantity) AS BIGINT)", False),
+    "cancel_reason_count":
+        ("{cancellation}", "reason", "count(order_id) FILTER (WHERE reason IS NOT NULL)", True),
+    "return_count": ("(SELECT product_id FROM {items} JOIN (SELECT order_id FROM {cancellation})"
+                     " USING (order_id))",
+                     "product_id", "count(*)", False),
+    "total_orders_per_customer":
+        ("(SELECT order_id, user_profile_id FROM {client_profile}"
+         " JOIN (SELECT order_id FROM {orders}) USING (order_id))",
+         "user_profile_id", "count(order_id)", False),
+}
 
-_GOLD1_TABLES = ("orders", "payment", "shipping_data", "items", "cancellation",
-                 "client_profile")
+_PROFILE_ORDERS = ("(SELECT order_id, email, value FROM (SELECT order_id, email FROM {client_profile})"
+                   " JOIN (SELECT order_id, value FROM {orders}) USING (order_id))")
 
+_GOLD2_PER_KEY = {
+    "total_quantity_sold":
+        ("{items}", "product_id", "CAST(sum(items_quantity) AS BIGINT)", True),
+    "total_sales_value":
+        ("{items}", "product_id", "CAST(sum(selling_price) AS BIGINT)", True),
+    "average_price": ("{items}", "product_id", "avg(list_price)", False),
+    "customer_lifetime_value":
+        (_PROFILE_ORDERS, "email", "CAST(sum(value) AS BIGINT)", False),
+    "total_orders_per_customer": (_PROFILE_ORDERS, "email", "count(order_id)", False),
+    "average_items_per_order":
+        (_PROFILE_ORDERS + " JOIN (SELECT order_id, items_quantity FROM {items}) USING (order_id)",
+         "email", "sum(items_quantity) / CAST(count(order_id) AS DOUBLE)", False),
+}
 
-def gold1_sql(select: str) -> str:
-    return with_silver(*_GOLD1_TABLES, extra=_GOLD1) + "\n" + select
+# columns computed from one row, or from a whole table
+_GOLD1_ROW = {
+    "fulfillment_time": "CAST(datediff('day', creation_date, authorized_date) AS INTEGER)",
+    "avg_shipping_cost": "(SELECT avg(price) FROM {shipping_data})",
+    "total_shipping_cost": "(SELECT CAST(sum(price) AS BIGINT) FROM {shipping_data})",
+    "total_sales_value": "CAST(items_quantity AS BIGINT) * selling_price",
+    "cancel_reason": "reason",
+    "is_return": "CAST(cancellation_date IS NOT NULL AS INTEGER)",
+    "is_repeat_customer": "CAST(coalesce(m_total_orders_per_customer.v, 0) > 1 AS INTEGER)",
+}
 
+_ORDER_KPI = {
+    "total_orders": "count(DISTINCT order_id) + CAST(count(*) > count(order_id) AS INTEGER)",
+    "completed_orders": "count(*) FILTER (WHERE is_completed)",
+    "canceled_orders": "count(*) FILTER (WHERE status = 'canceled')",
+    "total_order_value": "CAST(sum(value) AS BIGINT)",
+    "average_order_value": "avg(value)",
+    "fulfillment_rate": "CAST(count(*) FILTER (WHERE is_completed) AS DOUBLE) / count(*) * 100",
+    "cancellation_rate":
+        "CAST(count(*) FILTER (WHERE status = 'canceled') AS DOUBLE) / count(*) * 100",
+}
 
-# ---------------------------------------------------------------------------
-# Gold 2: KPI table
-# ---------------------------------------------------------------------------
 
-_GOLD2 = f"""
-i4 AS (
-  SELECT s_items.*,
-    CAST(sum(items_quantity) OVER (PARTITION BY s_items.product_id) AS BIGINT) AS total_quantity_sold,
-    CAST(sum(selling_price) OVER (PARTITION BY s_items.product_id) AS BIGINT) AS total_sales_value,
-    a.average_price
-  FROM s_items LEFT JOIN (
-    SELECT product_id, avg(list_price) AS average_price FROM s_items GROUP BY product_id) a
-  ON s_items.product_id = a.product_id
-),
-kpis AS (
-  SELECT
-    (SELECT count(*) FROM (SELECT DISTINCT order_id FROM s_orders)) AS total_orders,
-    (SELECT count(*) FROM s_orders WHERE is_completed = TRUE) AS completed_orders,
-    (SELECT count(*) FROM s_orders WHERE status = 'canceled') AS cancelled_orders,
-    (SELECT CAST(sum(value) AS BIGINT) FROM s_orders) AS total_order_value,
-    (SELECT avg(value) FROM s_orders) AS average_order_value,
-    (SELECT CAST(count(*) FILTER (WHERE is_completed = TRUE) AS DOUBLE) / count(*) * 100
-       FROM s_orders) AS fulfillment_rate,
-    (SELECT CAST(count(*) FILTER (WHERE status = 'canceled') AS DOUBLE) / count(*) * 100
-       FROM s_orders) AS cancellation_rate
-),
-o7 AS (SELECT s_orders.*, kpis.* FROM s_orders CROSS JOIN kpis),
-jo AS (SELECT cp.order_id, cp.email, o7.value FROM s_client_profile cp JOIN o7 USING (order_id)),
-clv AS (SELECT email, CAST(sum(value) AS BIGINT) AS customer_lifetime_value,
-               count(order_id) AS total_orders_per_customer FROM jo GROUP BY email),
-aipo AS (
-  SELECT jo.email, sum(i4.items_quantity) / CAST(count(jo.order_id) AS DOUBLE)
-    AS average_items_per_order
-  FROM jo JOIN i4 ON jo.order_id = i4.order_id GROUP BY jo.email
-),
-j3 AS (
-  SELECT cp.order_id, cp.email, clv.customer_lifetime_value, clv.total_orders_per_customer,
-    aipo.average_items_per_order
-  FROM s_client_profile cp
-  LEFT JOIN clv ON cp.email = clv.email
-  LEFT JOIN aipo ON cp.email = aipo.email
-),
-kpi AS (
-  SELECT product_id, total_orders, completed_orders, cancelled_orders AS canceled_orders,
-    total_order_value, average_order_value, fulfillment_rate, cancellation_rate,
-    customer_lifetime_value, total_orders_per_customer, average_items_per_order,
-    total_quantity_sold, total_sales_value, average_price,
-    DATE '{FIXED_LOAD_DATE}' AS at_load_date
-  FROM (SELECT order_id, total_orders, completed_orders, cancelled_orders,
-               total_order_value, average_order_value, fulfillment_rate,
-               cancellation_rate FROM o7) a
-  FULL OUTER JOIN (SELECT order_id, product_id, total_quantity_sold, total_sales_value,
-                          average_price FROM i4) b USING (order_id)
-  FULL OUTER JOIN (SELECT order_id FROM s_client_profile) c USING (order_id)
-  JOIN j3 USING (order_id)
-)"""
+def _rows(deduplicated: bool) -> dict[str, str]:
+    """Relation of each silver table; gold 1 deduplicates all of them but orders."""
+    return {t: f"u_{t}" if deduplicated and t != "orders" else cte_name(t) for t in _CTE_NAME}
+
+
+def _metric_rows(table: str, columns: list[str], per_key: dict, row: dict, rows: dict) -> str:
+    """SELECT of columns of a silver table, looking up each metric by its key."""
+    out, joins, joined = [], [], set()
+    needed = columns + ["total_orders_per_customer"] * ("is_repeat_customer" in columns)
+    for name in needed:
+        if name in per_key and name not in joined:
+            source, key, aggregate, null_group = per_key[name]
+            joined.add(name)
+            same = "IS NOT DISTINCT FROM" if null_group else "="
+            joins.append(f"LEFT JOIN (SELECT {key} AS k, {aggregate} AS v FROM "
+                         f"{source.format(**rows)} GROUP BY {key}) m_{name} "
+                         f"ON d.{key} {same} m_{name}.k")
+    for name in columns:
+        if name in per_key:
+            out.append(f"m_{name}.v AS {name}")
+        elif name in row:
+            out.append(f"{row[name].format(**rows)} AS {name}")
+        else:
+            out.append(f"d.{name}")
+    return f"SELECT {', '.join(out)} FROM {rows[table]} d " + " ".join(joins)
+
+
+def _with_rows(sql: str, deduplicated: bool) -> str:
+    """``sql`` with the silver tables that it, or a table it reads, names."""
+    used = [t for t, name in _rows(deduplicated).items() if name in sql]
+    unique = ",".join(f"\nu_{t} AS (SELECT DISTINCT * FROM {cte_name(t)})" for t in used
+                      if deduplicated and t != "orders")
+    return with_silver(*used, extra=unique) + "\n" + sql
+
+
+def gold1_sql(table: str, columns: list[str]) -> str:
+    """Columns and metrics of one deduplicated silver table of the order summary."""
+    return _with_rows(_metric_rows(table, columns, _GOLD1_PER_KEY, _GOLD1_ROW, _rows(True)), True)
+
+
+def gold1_plain(sql: str) -> str:
+    """SQL over the summary's inputs, named ``{orders}``, ``{payment}``, ...."""
+    return _with_rows(sql.format(**_rows(True)), True)
+
+
+def gold2_sql(table: str, columns: list[str]) -> str:
+    """Columns and metrics of one silver table of the KPI table."""
+    return _with_rows(_metric_rows(table, columns, _GOLD2_PER_KEY, {}, _rows(False)), False)
+
+
+def gold2_plain(sql: str) -> str:
+    """SQL over the KPI table's inputs, named ``{orders}``, ``{items}``, ...."""
+    return _with_rows(sql.format(**_rows(False)), False)
+
+
+def order_kpi_sql(names: list[str]) -> str:
+    """Order KPIs as one row."""
+    return gold2_plain("SELECT " + ", ".join(f"{_ORDER_KPI[n]} AS {n}" for n in names)
+                       + " FROM {orders}")
+
+
+# summary columns by the table they come from; profiles give two inputs
+_SUMMARY_PARTS = [
+    ("orders", ["fulfillment_time", "status", "order_status_count", "sales_channel",
+                "total_orders_per_channel", "total_sales_value_per_channel"]),
+    ("client_profile", ["email"]),
+    ("client_profile", ["total_orders_per_customer", "is_repeat_customer"]),
+    ("cancellation", ["cancel_reason", "cancel_reason_count", "is_return"]),
+    ("items", ["product_id", "total_quantity_sold", "total_sales_value", "return_count"]),
+    ("shipping_data", ["avg_shipping_cost", "total_shipping_cost"]),
+    ("payment", ["payment_system_name", "payment_method_usage_count",
+                 "payment_method_total_value"]),
+]
+
+
+def order_summary_sql() -> str:
+    """All order ids with every input's rows of that id; rows without an id stay alone."""
+    rows = _rows(True)
+    parts = [_metric_rows(t, ["order_id", *columns], _GOLD1_PER_KEY, _GOLD1_ROW, rows)
+             for t, columns in _SUMMARY_PARTS]
+    named = ",\n".join(f"part{i} AS ({sql})" for i, sql in enumerate(parts))
+    ids = " UNION ".join(f"SELECT order_id FROM part{i} WHERE order_id IS NOT NULL"
+                         for i in range(len(parts)))
+    matched = " ".join(f"LEFT JOIN part{i} USING (order_id)" for i in range(len(parts)))
+    alone = " ".join(f"UNION ALL BY NAME SELECT * FROM part{i} WHERE order_id IS NULL"
+                     for i in range(len(parts)))
+    sql = f"SELECT * FROM ids {matched} {alone}"
+    body = f"{named},\nids AS ({ids})"
+    used = [t for t in rows]
+    unique = ",".join(f"\n{rows[t]} AS (SELECT DISTINCT * FROM {cte_name(t)})" for t in used
+                      if t != "orders")
+    return with_silver(*used, extra=unique + ",\n" + body) + "\n" + sql
 
 
-def gold2_sql(select: str) -> str:
-    return with_silver("orders", "items", "client_profile", extra=_GOLD2) + "\n" + select
+def kpi_table_sql() -> str:
+    """Profile rows with an order id, times the order, item and profile rows of that id."""
+    rows = _rows(False)
+    people = _metric_rows("client_profile", [
+        "order_id", "customer_lifetime_value", "total_orders_per_customer",
+        "average_items_per_order"], _GOLD2_PER_KEY, {}, rows)
+    goods = _metric_rows("items", [
+        "order_id", "product_id", "total_quantity_sold", "total_sales_value",
+        "average_price"], _GOLD2_PER_KEY, {}, rows)
+    totals = ", ".join(f"(SELECT {sql} FROM {rows['orders']}) AS {n}"
+                       for n, sql in _ORDER_KPI.items())
+    return _with_rows(f"""SELECT * EXCLUDE (order_id), DATE '{FIXED_LOAD_DATE}' AS at_load_date
+FROM ({people})
+JOIN (SELECT order_id FROM {rows['client_profile']}) USING (order_id)
+LEFT JOIN ({goods}) USING (order_id)
+LEFT JOIN (SELECT order_id, {totals} FROM {rows['orders']}) USING (order_id)""", False)
