@@ -70,19 +70,19 @@ def customer_metrics(orders: DataFrame, items: DataFrame,
     """K12-K14 per e-mail, joined back to every profile row (null e-mail gets null).
 
     K12 sums order value and K13 counts orders over profile x orders; K14 divides summed
-    item quantity by the count of rows over profile x orders x items.
+    item quantity by the count of rows over profile x orders x items.  Items are summed
+    and counted per order first, so their rows are never multiplied or sent to an e-mail;
+    an e-mail without items gets null for K14.
     """
-    po = client_profile.select("order_id", "email").join(
-        orders.select("order_id", "value"), "order_id").where(F.col("email").isNotNull())
-    per_email = po.groupBy("email").agg(
+    per_order = items.where(F.col("order_id").isNotNull()).groupBy("order_id").agg(
+        F.sum("items_quantity").alias("quantity"), F.count(F.lit(1)).alias("item_rows"))
+    po = client_profile.select("order_id", "email").where(F.col("email").isNotNull()).join(
+        orders.select("order_id", "value"), "order_id").join(per_order, "order_id", "left")
+    metrics = po.groupBy("email").agg(
         F.sum("value").alias("customer_lifetime_value"),
-        F.count("order_id").alias("total_orders_per_customer"))
-    poi = po.select("order_id", "email").join(items.select("order_id", "items_quantity"),
-                                              "order_id")
-    per_email_items = poi.groupBy("email").agg(
-        F.try_divide(F.sum("items_quantity").cast("double"),
-                     F.count("order_id").cast("double")).alias("average_items_per_order"))
-    metrics = per_email.join(per_email_items, "email", "full_outer")
+        F.count("order_id").alias("total_orders_per_customer"),
+        F.try_divide(F.sum("quantity").cast("double"),
+                     F.sum("item_rows").cast("double")).alias("average_items_per_order"))
     return attach_metrics(client_profile, metrics, "email")
 
 
