@@ -501,14 +501,14 @@ def _customers_m(spark, sf_dir):
     return S.customer_order_counts(s["orders"], s["client_profile"])
 
 
-for _name, _src, _cols, _table in [
+for _name, _src, _cols, _rows_of in [
     ("gold1_avg_shipping_cost", _shipping_m, ["order_id", "avg_shipping_cost"], "shipping_data"),
     ("gold1_total_shipping_cost", _shipping_m, ["order_id", "total_shipping_cost"], "shipping_data"),
     ("gold1_cancel_reason", _cancellation_m, ["order_id", "cancel_reason"], "cancellation"),
     ("gold1_is_return", _cancellation_m, ["order_id", "cancellation_date", "is_return"], "cancellation"),
     ("gold1_is_repeat_customer", _customers_m, ["order_id", "is_repeat_customer"], "client_profile"),
 ]:
-    register(_name, O.gold1_sql(_table, _cols))(
+    register(_name, O.gold1_sql(_rows_of, _cols))(
         _projection(_src, _cols))
 
 
