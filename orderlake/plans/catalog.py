@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from orderlake.functions.naming import snake_case_columns
 from orderlake.operators import flatten as FL
 from orderlake.operators.joins import full_outer_chain
-from orderlake.operators.metrics import add_global_metrics, add_group_metric
+from orderlake.operators.metrics import add_global_metrics, add_group_metric, attach_metrics
 from orderlake.plans import kpi as K
 from orderlake.plans import layers as L
 from orderlake.plans import oracle as O
+from orderlake.plans import saved
 from orderlake.plans import summary as S
 from orderlake.sources.upsert import merge_by_key, with_load_date
 
@@ -48,9 +49,14 @@ def _silver(spark, sf_dir, *names):
 # Generic operators (sources, projections, generators, joins, aggregates, sinks)
 # ---------------------------------------------------------------------------
 
-@register("scan_table", "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders "
-                        "WHERE o_orderstatus = 'F'")
+@register("scan_table", "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders")
 def q_scan_table(spark, sf_dir):
+    return _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+
+
+@register("filter_equality", "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders "
+                             "WHERE o_orderstatus = 'F'")
+def q_filter_equality(spark, sf_dir):
     return (_table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
             .select("o_orderkey", "o_totalprice", "o_orderdate"))
 
@@ -75,14 +81,25 @@ def q_snake_case_columns(spark, sf_dir):
     return snake_case_columns(df)
 
 
-@register("explode_inner",
+@register("explode_position",
           "SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, "
           "unnest(embedding) AS value FROM embeddings")
-def q_explode_inner(spark, sf_dir):
+def q_explode_position(spark, sf_dir):
     return _table(spark, sf_dir, "embeddings").select(
         "vec_id", F.posexplode("embedding").alias("pos", "value"))
 
 
+@register("explode_inner", """
+SELECT vec_id, label, unnest(embedding) AS value FROM embeddings WHERE label > 1""")
+def q_explode_inner(spark, sf_dir):
+    """Labels 0 and null have a null array, label 1 an empty one: their rows go."""
+    label = F.col("label")
+    values = (F.when(label == 1, F.array().cast("array<float>"))
+              .when(label > 1, F.col("embedding")))
+    df = _table(spark, sf_dir, "embeddings").select("vec_id", "label", values.alias("value"))
+    return FL.explode_inner(df, "value")
+
+
 @register("explode_outer", """
 SELECT vec_id, label, unnest(embedding) AS value FROM embeddings
 WHERE coalesce(label <> 0 AND len(embedding) > 0, FALSE)
@@ -229,6 +246,55 @@ def q_group_join_back(spark, sf_dir):
         .select("l_orderkey", "l_linenumber", "l_partkey", "part_quantity")
 
 
+@register("group_join_back_null", """
+SELECT l.l_orderkey, l.l_linenumber, l.part_key, g.part_quantity
+FROM (SELECT *, CASE WHEN l_returnflag <> 'N' THEN l_partkey END AS part_key FROM lineitem) l
+LEFT JOIN (SELECT l_partkey, sum(l_quantity) AS part_quantity FROM lineitem
+           WHERE l_returnflag <> 'N' GROUP BY l_partkey) g
+ON l.part_key = g.l_partkey""")
+def q_group_join_back_null(spark, sf_dir):
+    """Lines that were not returned yet have a null key, and so a null metric."""
+    li = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity",
+        F.when(F.col("l_returnflag") != "N", F.col("l_partkey")).alias("part_key"))
+    return add_group_metric(li, "part_key", part_quantity=F.sum("l_quantity")) \
+        .select("l_orderkey", "l_linenumber", "part_key", "part_quantity")
+
+
+@register("left_join_unmatched", """
+SELECT s.s_name, s.party_id, g.n_orders
+FROM (SELECT s_name, CASE WHEN s_acctbal >= 0 THEN s_suppkey * 40 END AS party_id
+      FROM supplier) s
+LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) g
+ON s.party_id = g.o_custkey""")
+def q_left_join_unmatched(spark, sf_dir):
+    """Keys with a match, keys without one, and null keys."""
+    parties = _table(spark, sf_dir, "supplier").select(
+        "s_name", F.when(F.col("s_acctbal") >= 0, F.col("s_suppkey") * 40).alias("party_id"))
+    counts = (_table(spark, sf_dir, "orders")
+              .groupBy(F.col("o_custkey").alias("party_id"))
+              .agg(F.count(F.lit(1)).alias("n_orders")))
+    return attach_metrics(parties, counts, "party_id").select("s_name", "party_id", "n_orders")
+
+
+@register("full_outer_null_keys", """
+SELECT party_id, c_name, s_name, p_name
+FROM (SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey END AS party_id, c_name FROM customer) a
+FULL OUTER JOIN (SELECT CASE WHEN s_acctbal >= 0 THEN s_suppkey * 40 END AS party_id, s_name
+                 FROM supplier) b USING (party_id)
+FULL OUTER JOIN (SELECT CASE WHEN p_size > 5 THEN p_partkey + 100 END AS party_id, p_name
+                 FROM part) c USING (party_id)""")
+def q_full_outer_null_keys(spark, sf_dir):
+    """Every input has null keys, and keys that no other input has."""
+    def keyed(table, key, name):
+        return _table(spark, sf_dir, table).select(key.alias("party_id"), name)
+    return full_outer_chain([
+        keyed("customer", F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")), "c_name"),
+        keyed("supplier", F.when(F.col("s_acctbal") >= 0, F.col("s_suppkey") * 40), "s_name"),
+        keyed("part", F.when(F.col("p_size") > 5, F.col("p_partkey") + 100), "p_name"),
+    ], "party_id")
+
+
 @register("global_metrics", """
 SELECT o_orderkey, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS order_cents,
   CAST(sum(CAST(ROUND(o_totalprice * 100) AS BIGINT)) OVER () AS BIGINT) AS total_cents,
@@ -520,3 +586,5 @@ def _order_kpis(spark, sf_dir):
 for _col in ["total_orders", "completed_orders", "canceled_orders", "total_order_value",
              "average_order_value", "fulfillment_rate", "cancellation_rate"]:
     register(f"gold2_{_col}", O.order_kpi_sql([_col]))(_projection(_order_kpis, [_col]))
+
+QUERIES.update(saved.QUERIES)
