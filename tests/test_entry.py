@@ -23,13 +23,18 @@ def test_entry_runs(spark):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("orders", "lineitem", "customer", "events", "embeddings"):
+    for t in ("orders", "lineitem", "customer", "supplier", "part", "events", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
 
 @pytest.mark.parametrize("name", ["silver_items", "silver_payment", "order_summary",
-                                  "kpi_table", "merge_by_key", "explode_map"])
+                                  "kpi_table", "merge_by_key", "explode_map",
+                                  "explode_inner", "full_outer_null_keys",
+                                  "left_join_unmatched", "group_join_back_null",
+                                  "json_lines_scan", "save_first_load", "save_merge",
+                                  "incremental_load_orders", "incremental_load_items",
+                                  "saved_order_summary", "saved_kpi_table"])
 def test_query_matches_sql(spark, con, name):
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])
