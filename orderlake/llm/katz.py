@@ -8,7 +8,8 @@ often as it is a token.
              = alpha(h) P(w)                         otherwise (alpha = 1 for unseen h)
     P(w)     = d1(c(w)) c(w) / N, and the rest of the mass for the one unknown word
 
-d and d1 are Good-Turing discounts for counts up to ``CUTOFF`` (larger counts stay).
+d and d1 are Good-Turing discounts for counts up to ``CUTOFF`` (larger counts stay), with
+smoothed counts of counts where the plain ones allow none.
 alpha(h) is the mass that the seen bigrams of h leave over, divided by the unigram mass of
 the words not seen after h, so the probabilities of every context sum to one; DELTA keeps
 that mass above zero when all counts are large.
@@ -211,21 +212,47 @@ def _count_bucket(bucket: int, rows, buckets: int, frequent: np.ndarray):
             yield "model", b, pack(mh[m], mc[m], mw[m], uh[u], uchunk[u], udoc[u])
 
 
+def _line(n: np.ndarray) -> float | None:
+    """Slope of log n(r) over log r by least squares, over the counts that occur; None where
+    they give no line that falls faster than 1/r."""
+    r = np.flatnonzero(n[:CUTOFF + 2] > 0)
+    r = r[r > 0]
+    if len(r) < 2:
+        return None
+    slope = float(np.polyfit(np.log(r), np.log(n[r]), 1)[0])
+    return slope if slope < -1 else None
+
+
 def good_turing(counts: np.ndarray) -> np.ndarray:
     """Discounts d(0..CUTOFF) from counts of counts (index = count; 0 unused).
 
-    Katz's form, so that the mass taken off is n1 / N.  Where the counts of counts allow no
-    discount between 0 and 1, absolute discounting with n1 / (n1 + 2 n2) takes its place.
+    Katz's form: 1 - d(r) is in proportion to 1 - r*/r, so that the mass taken off is n1 / N.
+    r* = (r + 1) n(r+1) / n(r) as long as that lies between 0 and r; from the first count
+    where it does not (exact copies swell single n(r)), n(r) comes from the log-linear fit
+    of Simple Good-Turing, whose r* always lies there.  If n1 asks for more than a whole
+    count, d(r) is r*/r.  Only without once-seen entries, or without a falling line where
+    one is needed, absolute discounting with n1 / (n1 + 2 n2) takes the place of r*.
     """
     n = counts.astype(float)
     d = np.ones(CUTOFF + 1)
-    if n[1] > 0 and (n[1:CUTOFF + 2] > 0).all():
-        a = (CUTOFF + 1) * n[CUTOFF + 1] / n[1]
-        r = np.arange(1, CUTOFF + 1)
-        d[1:] = ((r + 1) * n[2:CUTOFF + 2] / n[1:CUTOFF + 1] / r - a) / (1 - a) if a != 1 else 1
-    if not ((d[1:] > 0) & (d[1:] < 1)).all():
-        off = n[1] / (n[1] + 2 * n[2]) if n[1] > 0 and n[2] > 0 else 0.5
-        d[1:] = 1 - off / np.arange(1, CUTOFF + 1)
+    r = np.arange(1, CUTOFF + 1)
+    kept = np.zeros(CUTOFF)                                   # r*/r
+    np.divide((r + 1) * n[2:CUTOFF + 2], r * n[1:CUTOFF + 1], out=kept, where=n[1:CUTOFF + 1] > 0)
+    bad = np.flatnonzero((kept <= 0) | (kept >= 1))
+    if n[1] > 0 and len(bad):
+        slope = _line(n)
+        off = n[1] / (n[1] + 2 * n[2]) if n[2] > 0 else 0.5
+        if slope is not None:
+            kept[bad[0]:] = ((r + 1) / r)[bad[0]:] ** (slope + 1)
+        else:
+            kept[bad] = 1 - off / r[bad]
+    if n[1] <= 0:
+        d[1:] = 1 - 0.5 / r
+        return d
+    share = n[1] / (r * n[1:CUTOFF + 1] * (1 - kept)).sum()
+    d[1:] = 1 - share * (1 - kept)
+    if (d[1:] <= 0).any():
+        d[1:] = kept
     return d
 
 

@@ -199,6 +199,33 @@ def test_katz_equals_brute_force_and_sums_to_one(spark, monkeypatch):
     assert katz.katz_scores(_frame(spark, rows).where("false")).count() == 0
 
 
+@pytest.mark.parametrize("n", [  # words, then bigrams, of the training texts at sf0.01 and sf0.1
+    [0, 47735, 12166, 4990, 2407, 2203, 1012, 4886], [0, 184712, 23127, 5984, 1951, 2262, 607, 2137],
+    [0, 200420, 57120, 23804, 13644, 12859, 6775, 43634], [0, 1482341, 227973, 46941, 19718, 17404, 6993, 32766]])
+def test_discounts_of_real_counts_of_counts_stay_good_turing(n):
+    n = np.array(n)
+    d, r = katz.good_turing(n), np.arange(1, katz.CUTOFF + 1)
+    assert ((d[1:] > 0) & (d[1:] < 1)).all() and (np.diff(d[1:]) > 0).all()
+    assert (r * n[1:6] * (1 - d[1:])).sum() == pytest.approx(n[1])  # the once-seen mass is taken off
+    raw = (r + 1) * n[2:7] / n[1:6] / r
+    assert raw[3] > 1
+    # counts below the swollen one keep their own estimate, up to Katz's common factor
+    assert np.ptp(((1 - d[1:]) / (1 - raw))[:3]) < 1e-12
+    slope = np.polyfit(np.log(np.arange(1, 7)), np.log(n[1:7]), 1)[0]
+    smooth = ((r + 1) / r) ** (slope + 1)
+    assert (1 - d[4:]) / (1 - smooth[3:]) == pytest.approx((1 - d[1]) / (1 - raw[0]))
+
+
+def test_discounts_are_katz_where_the_counts_allow_them():
+    n = np.array([0, 6000, 1500, 600, 300, 170, 100, 900])
+    r, a = np.arange(1, 6), 6 * n[6] / n[1]
+    assert katz.good_turing(n)[1:] == pytest.approx(((r + 1) * n[2:7] / n[1:6] / r - a) / (1 - a))
+    for odd in ([0] * 8, [0, 0, 9, 0, 0, 0, 0, 3], [0, 5, 0, 0, 0, 0, 0, 0], [0, 3, 9, 9, 9, 9, 9, 9],
+                [0, 40, 0, 7, 0, 0, 1, 0], [0, 10, 9, 1, 1, 1, 1, 0]):
+        d = katz.good_turing(np.array(odd))[1:]
+        assert ((d > 0) & (d < 1)).all()
+
+
 def test_pipeline_stages_pass_their_columns_on(spark):
     import corpus_pipeline
     sf = "/root/testdata/sf0.001"
