@@ -1,8 +1,9 @@
 """Main text of web pages by line-block distribution (operator 5).
 
 A page becomes lines: one per block element, with scripts, styles, comments and the
-elements that are page furniture by name, role or class left out.  Each line weighs its
-text without link text.  The weights of ``WINDOW`` lines in a row are summed; where the
+elements that are page furniture by name, role, class or id left out, unless they are or
+hold an ``article`` or ``main``.  Class and id count by whole words of a short list; what
+they leave in doubt the weights decide.  Each line weighs its text without link text.  The weights of ``WINDOW`` lines in a row are summed; where the
 sums rise to the threshold is a surge point, where they fall below it again a dive point,
 and the lines between them are the text.  Inside an ``article`` or ``main`` element, which
 says itself where the text is, any weight is a surge.
@@ -38,13 +39,18 @@ BLOCK = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol p "
     "pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-#: Words in a class, id or role that mark furniture.
-MARKS = re.compile(
-    r"(?<![a-z])(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert"
-    r"|menu|nav\w*|breadcrumbs?|toolbar|sidebar|side|aside|widget|complementary|related|recommend\w*"
-    r"|footer|contentinfo|comments?|replies|disqus|share|sharing|social|newsletter|subscribe|signup"
-    r"|login|search|popup|modal|overlay|masthead|skip)(?![a-z])")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Whole class and id words that mark furniture, and roles that do.
+MARKS = frozenset(
+    "ad ads advert advertisement advertising sponsored navbar navigation breadcrumb breadcrumbs "
+    "sidebar toolbar footer site-footer masthead comments comments-area comment-list disqus "
+    "disqus_thread newsletter cookie-banner cookie-notice cookie-consent related-posts "
+    "related-articles share-buttons social-share social-links skip-link".split())
+ROLES = frozenset("navigation banner complementary contentinfo search menu menubar toolbar dialog "
+                  "alertdialog".split())
+#: Elements whose id may mark furniture; ids of others are mostly made from headings.
+NAMED = frozenset("div ul ol table".split())
 
 
 def _is_furniture(name: str, attributes: str, inside: bool) -> bool:
@@ -56,19 +62,59 @@ def _is_furniture(name: str, attributes: str, inside: bool) -> bool:
         key, value = key.lower(), "".join(values).lower()
         if key == "hidden" and not value or key == "aria-hidden" and value == "true":
             return True
-        if key in ("class", "id", "role") and MARKS.search(value):
+        if key == "role" and not ROLES.isdisjoint(value.split()):
+            return True
+        if (key == "class" and name not in HEADINGS or key == "id" and name in NAMED and not inside) \
+                and not MARKS.isdisjoint(value.split()):
             return True
     return False
 
 
+def _tags(page: str) -> list[tuple[int, int, str, bool, str]]:
+    """(start, end, name, whether it ends an element, attributes) of every tag; comments, odd
+    tags and raw elements with what they hold have no name."""
+    tags = []
+    at = 0
+    while found := TOKEN.search(page, at):
+        at = found.end()
+        name, end = (found[2] or "").lower(), bool(found[1])
+        if not end and name in RAW:
+            close = re.compile(rf"</{re.escape(name)}(?![\w-])[^>]*>?", re.I).search(page, at)
+            if close:
+                at = close.end()
+            elif name in ("script", "style"):
+                at = len(page)
+            name = ""
+        tags.append((found.start(), at, name, end, found[3] or ""))
+    return tags
+
+
+def _closings(tags: list) -> tuple[list[int], list[int]]:
+    """For every tag the number of the tag that closes it (0: none), nested by name, and how
+    many article and main elements begin up to it."""
+    closing, begun = [0] * len(tags), []
+    opened: dict[str, list[int]] = {}
+    n = 0
+    for i, (_, _, name, end, attributes) in enumerate(tags):
+        if end:
+            if opened.get(name):
+                closing[opened[name].pop()] = i
+        elif name and name not in VOID:
+            n += name in CONTAINER
+            if not attributes.endswith("/"):
+                opened.setdefault(name, []).append(i)
+        begun.append(n)
+    return closing, begun
+
+
 def page_lines(page: str) -> list[tuple[str, int, bool]]:
     """(text, weight, whether in article or main) of every line that is no furniture."""
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = 0
     containers = links = 0
-    skip, depth = "", 0
-    at, n = 0, len(page)
+    tags = _tags(page)
+    closing, begun = _closings(tags)
 
     def flush(inside: bool) -> None:
         nonlocal linked
@@ -78,42 +124,31 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         parts.clear()
         linked = 0
 
-    while at < n:
-        found = TOKEN.search(page, at)
-        stop = found.start() if found else n
-        if stop > at and not skip:
-            parts.append(page[at:stop])
+    def read(start: int, stop: int) -> None:
+        nonlocal linked
+        if stop > start:
+            parts.append(page[start:stop])
             if links:
-                linked += stop - at
-        if not found:
-            break
-        at = found.end()
-        name = (found[2] or "").lower()
-        if not name:
-            continue
-        end = bool(found[1])
-        if skip:
-            if name == skip:
-                depth += -1 if end else 0 if found[3].endswith("/") else 1
-                if not depth:
-                    skip = ""
-            continue
-        if not end and name in RAW:
-            close = re.compile(rf"</{re.escape(name)}(?![\w-])[^>]*>?", re.I).search(page, at)
-            if close:
-                at = close.end()
-            elif name in ("script", "style"):
-                at = n
-            continue
+                linked += stop - start
+
+    at = i = 0
+    while i < len(tags):
+        start, stop, name, end, attributes = tags[i]
+        read(at, start)
+        at = stop
         if name in BLOCK:
             flush(containers > 0)
-        if not end and name not in VOID and _is_furniture(name, found[3], containers > 0) \
-                and re.compile(rf"</{re.escape(name)}(?![\w-])", re.I).search(page, at):
-            skip, depth = name, 1
+        # an element that is article or main or holds one is never furniture
+        if not end and closing[i] and name not in CONTAINER and begun[closing[i]] == begun[i] \
+                and _is_furniture(name, attributes, containers > 0):
+            i = closing[i]
+            at = tags[i][1]
         elif name in CONTAINER:
             containers = max(0, containers + (-1 if end else 1))
         elif name == "a":
             links = 0 if end else 1
+        i += 1
+    read(at, len(page))
     flush(containers > 0)
     return lines
 

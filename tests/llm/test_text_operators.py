@@ -56,6 +56,21 @@ def test_page_text(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    *((f"<body class='{c}'><div class='{c}' id='{c}'><article class='post {c}'><p>real text</article></div>", "real text")
+      for c in ("has-sidebar", "layout with-sidebar", "no-sidebar", "comments-open", "sidebar", "ad")),
+    *((f"<article><p>a<h2 id='{i}' class='{i}'>head</h2><section id='{i}'><p>real text</section><p>z</article>",
+       "a\nhead\nreal text\nz") for i in ("side-effects", "related-work", "search-algorithms", "social-impact")),
+    ("<main><h2 id=comments>Comments</h2><section id=comments><p>in code</section></main>", "Comments\nin code"),
+    ("<form id=page><nav>n</nav><main><p>x</main></form>", "x"),
+    ("<article><p>x<p title='hidden class=ad'>y<p data-id=sidebar>z</p></article>", "x\ny\nz"),
+    ("<article><p>x<p class=ad>buy</p><p>y<div class='box comments'><p>first!</div></article>", "x\ny"),
+    ("<main><ul><li class=ad>buy<li>x</li></ul><p>y</main>", "buy\nx\ny"),
+])
+def test_words_in_class_and_id_hide_no_text(page, text):
+    assert html.main_text(page) == text
+
+
 def test_pages_without_article_keep_the_dense_part():
     menu = "<ul>" + "<li><a href=x>item</a>" * 8 + "</ul>"
     body = "<p>" + "long sentence here " * 20 + "</p><p>short</p><p>" + "and more words " * 20 + "</p>"
