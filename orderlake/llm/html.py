@@ -5,8 +5,9 @@ elements that are page furniture by name, role, class or id left out, unless the
 hold an ``article`` or ``main``.  Class and id count by whole words of a short list; what
 they leave in doubt the weights decide.  Each line weighs its text without link text.  The weights of ``WINDOW`` lines in a row are summed; where the
 sums rise to the threshold is a surge point, where they fall below it again a dive point,
-and the lines between them are the text.  Inside an ``article`` or ``main`` element, which
-says itself where the text is, any weight is a surge.
+and the lines between them are the text.  The threshold is the same for all lines of the
+page; a line with text of its own inside an ``article`` or ``main`` element, which says
+itself where text is, weighs ``SURGE`` more, so that no such line is too short.
 
 Cases: a null or empty page gives the empty text; unclosed elements, stray ends and
 unfinished comments or tags are read as far as they go; furniture that is never closed
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Lines in a window and the weight that makes a surge outside article and main.
+#: Lines in a window, and the weight that makes a surge and that article and main add to a line.
 WINDOW = 3
 SURGE = 120
 
@@ -154,18 +155,16 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
 
 
 def main_text(page: str | None) -> str:
-    """The article's lines, joined by line feeds."""
-    if not page:
-        return ""
-    lines = page_lines(page)
-    threshold = SURGE
-    if any(inside for _, _, inside in lines):
-        lines = [x for x in lines if x[2]]
-        threshold = 1
+    """The text's lines, joined by line feeds."""
+    lines = page_lines(page) if page else []
     if not lines:
         return ""
     weights = np.array([w for _, w, _ in lines], np.int64)
-    keep = between_surges(weights, threshold)
+    inside = np.array([x for _, _, x in lines], bool)
+    # each side is read with the other side's lines as empty ones: the extra weight lifts
+    # no line outside
+    keep = between_surges(np.where(inside, 0, weights), SURGE) & ~inside
+    keep |= between_surges(np.where(inside & (weights > 0), weights + SURGE, 0), SURGE) & inside
     if not keep.any():  # a page of short lines only: nothing surges
         keep = weights > 0
     return "\n".join(text for (text, _, _), kept in zip(lines, keep) if kept)

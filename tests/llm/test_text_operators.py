@@ -78,6 +78,17 @@ def test_pages_without_article_keep_the_dense_part():
     assert "item" not in got and "short" in got and got.startswith("long sentence")
 
 
+def test_pages_keep_the_dense_part_outside_article():
+    cards = "<article class=card><h3><a href=x>Other</a></h3><p>teaser</article>" * 3
+    body = "".join(f"<div>paragraph {i} " + "of the real text " * 20 + "</div>" for i in range(4))
+    got = html.main_text(f"<body><ul><li>Home<li>About</ul><div>{body}</div><ul><li><a href=x>more</a></ul>{cards}"
+                         "<p>(c) us")
+    assert all(f"paragraph {i} of the real text" in got for i in range(4)) and "teaser" in got
+    # short lines outside stay out, also beside an article
+    assert html.main_text("<p>Home<p>About<article><p>x<p>" + "text " * 50 + "<p>y</article><p>(c) us") \
+        == "x\n" + " ".join(["text"] * 50) + "\ny"
+
+
 def test_pages_table(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>é</article>", "x"), (2, None, None, None)],
                                   "page_id long, url string, html string, extra string")
