@@ -113,7 +113,7 @@ def features(text: str | None, lexicon: frozenset[str]) -> list[float]:
         spots = np.concatenate(([-10 ** 9], you, [10 ** 9]))
         near = int(((np.array(hits) - spots[at] <= 5) | (spots[at + 1] - np.array(hits) <= 5)).sum())
     size, words = max(len(text), 1), max(n, 1)
-    letters = max(sum(map(str.isalpha, text)) if size < 1 << 16 else size, 1)
+    letters = max(sum(map(str.isalpha, text)), 1)
     upper = sum(map(str.isupper, text))
     shouted = sum(1 for w in text.split() if len(w) > 2 and w.isupper())
     marks = {c: text.count(c) for c in "!?.,;:*#$%&@|"}

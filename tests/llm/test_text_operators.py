@@ -177,3 +177,12 @@ def test_toxicity_on_rows_it_never_learned_from(spark):
     assert sum((r["__score"] >= 0.3) == bool(r.toxic) for r in held) >= 0.95 * len(held)
     prior = toxicity.fit(docs, labels.where("toxic = 0"))
     assert prior.trees is None and toxicity.keep_clean(docs, prior).count() == 902
+
+
+def test_features_of_a_text_do_not_change_with_its_size():
+    prose = "You ARE an idiot, 12 of Them! "
+    short, long = (dict(zip(toxicity.FEATURES, toxicity.features(prose * n, toxicity.INSULTS))) for n in (100, 5000))
+    assert len(prose * 5000) > 1 << 16
+    assert short["capitals"] == pytest.approx(5 / 19)
+    for name in set(toxicity.FEATURES) - {"words", "hits", "kinds", "fixed_hits"}:
+        assert long[name] == pytest.approx(short[name]), name
