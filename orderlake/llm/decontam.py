@@ -14,7 +14,8 @@ common ones, which together stay below half the threshold, and the rest.  Only p
 other words give some item the missing half go to the index.
 
 The index is small and is sent to the workers in blocks of at most ``ITEMS_PER_BLOCK`` items;
-documents are read once per block.
+documents are read once per block.  Number of items, items by word, average and longest item
+are those of the whole benchmark in every block.
 
 Cases: null or empty texts and items match nothing; items with equal texts are found each;
 items of fewer than three words count their whole word sequence as one gram; an empty
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from orderlake.llm.common import flat, mix, pieces, word_hashes
+from orderlake.llm.common import flat, mix, pieces, staged, word_hashes
 
 K1, B = 1.2, 0.75
 LEAST_SCORE = 0.5
@@ -74,8 +75,22 @@ def grams(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def build_index(ids: list, questions: list, answers: list, least: float = LEAST_SCORE) -> Index:
-    """The index of items; ``answers`` may hold None, then the question's text is split."""
+@dataclass
+class Totals:
+    """What BM25 takes from the whole benchmark: items, words an item, words of the longest
+    item, and by word (sorted hashes) the items that hold it."""
+
+    items: int
+    average: float
+    span: int
+    words: np.ndarray
+    df: np.ndarray
+
+
+def build_index(ids: list, questions: list, answers: list, least: float = LEAST_SCORE,
+                totals: Totals | None = None) -> Index:
+    """The index of items; ``answers`` may hold None, then the question's text is split.
+    ``totals`` belong to the benchmark that the items are a block of; None: they are all."""
     q_words, a_words = _words(questions), _words(answers)
     parts = []
     for i, (q, a) in enumerate(zip(q_words, a_words)):
@@ -85,7 +100,8 @@ def build_index(ids: list, questions: list, answers: list, least: float = LEAST_
         parts.append((q, a))
     whole = [np.concatenate(p) for p in parts]
     lengths = np.array([len(w) for w in whole], float)
-    average = max(lengths.mean(), 1.0) if len(lengths) else 1.0
+    average = totals.average if totals else lengths.mean() if len(lengths) else 1.0
+    average = max(average, 1.0)
     word = np.concatenate(whole) if whole else np.zeros(0, np.uint64)
     item = np.repeat(np.arange(len(whole)), lengths.astype(int))
     order = np.lexsort((item, word))
@@ -95,7 +111,8 @@ def build_index(ids: list, questions: list, answers: list, least: float = LEAST_
     tf = np.diff(np.concatenate((begin, [len(word)]))).astype(float)
     word, item = word[begin], item[begin]
     words, of, df = np.unique(word, return_inverse=True, return_counts=True)
-    idf = np.log(1 + (len(whole) - df + 0.5) / (df + 0.5))
+    held, n = (totals.df[np.searchsorted(totals.words, words)], totals.items) if totals else (df, len(whole))
+    idf = np.log(1 + (n - held + 0.5) / (held + 0.5))
     weight = idf[of] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[item] / average))
     own = np.bincount(item, weight, len(whole))
     weight = weight / own[item]
@@ -115,7 +132,7 @@ def build_index(ids: list, questions: list, answers: list, least: float = LEAST_
         block_start.append(len(peak))
     return Index(ids, words, start, item, weight, top, np.array(block_start), np.array(peak), rare,
                  common, [grams(q) for q, _ in parts], [grams(a) for _, a in parts],
-                 int(lengths.max()) if len(lengths) else 0)
+                 totals.span if totals else int(lengths.max()) if len(lengths) else 0)
 
 
 def _words(texts: list) -> list[np.ndarray]:
@@ -266,12 +283,46 @@ def index_blocks(items: DataFrame, item_id: str = "item_id", question: str = "te
                         (items[answer] if answer else F.lit(None)).cast("string").alias("a"))
     n = part.count()
     blocks = -(-n // ITEMS_PER_BLOCK)
+    counts = None if blocks <= 1 else staged(_item_words(part).groupBy("word").agg(
+        F.sum("items").alias("items"), F.sum("words").alias("words"), F.max("longest").alias("longest")),
+        "benchmark-words")
     for b in range(blocks):
         mine = part if blocks == 1 else part.where(F.pmod(F.xxhash64("i", "q"), F.lit(blocks)) == b)
         got = sorted(mine.collect(), key=lambda r: (r["i"] is None, r["i"], r["q"] or ""))
         if got:
             yield spark.sparkContext.broadcast(
-                build_index([r["i"] for r in got], [r["q"] for r in got], [r["a"] for r in got], least))
+                build_index([r["i"] for r in got], [r["q"] for r in got], [r["a"] for r in got], least,
+                            None if counts is None else _totals(counts, mine)))
+
+
+def _item_words(part: DataFrame) -> DataFrame:
+    """Items by word, and on rows without a word the number of items, their words and the
+    longest one's."""
+
+    def count(batches):
+        for batch in pieces(batches, "q", 2 << 20):
+            whole = [np.concatenate(w) for w in zip(_words(batch.column("q").to_pylist()),
+                                                    _words(batch.column("a").to_pylist()))]
+            lengths = [len(w) for w in whole]
+            word, items = np.unique(np.concatenate([np.unique(w) for w in whole]), return_counts=True)
+            none = [0] * len(word)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*word.view(np.int64).tolist(), None], pa.int64()),
+                 *(pa.array(v, pa.int64()) for v in ([*items.tolist(), len(whole)], [*none, sum(lengths)],
+                                                     [*none, max(lengths)]))],
+                ["word", "items", "words", "longest"])
+
+    return part.mapInArrow(count, "word long, items long, words long, longest long")
+
+
+def _totals(counts: DataFrame, mine: DataFrame) -> Totals:
+    """Totals of the benchmark, with the words of one block only."""
+    every = counts.where("word is null").first()
+    got = counts.join(_item_words(mine).select("word").distinct(), "word").select("word", "items").toArrow()
+    words = got.column("word").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(words)
+    return Totals(every["items"], every["words"] / every["items"], every["longest"], words[order],
+                  got.column("items").to_numpy()[order])
 
 
 def _search(shared, least: float, overlap: float, kind: pa.DataType):

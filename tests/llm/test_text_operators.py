@@ -125,6 +125,27 @@ def test_leaks_are_found_and_clean_documents_stay(spark):
     assert decontam.find_leaks(docs.where("false"), items).count() == 0
 
 
+def test_blocks_of_items_change_no_score(spark, monkeypatch):
+    rnd = random.Random(12)
+    items = [(i, " ".join(f"w{int(rnd.random() ** 3 * 200)}" for _ in range(rnd.randint(5, 40)))) for i in range(40)]
+    items += [(90, None), (91, ""), (3, items[3][1])]
+    docs = []
+    for d in range(60):
+        words = _words(rnd, rnd.randint(0, 80)) + items[rnd.randrange(40)][1].split()
+        docs.append((d, " ".join(w for w in words if rnd.random() < 0.93)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    items = spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        rows = sorted(tuple(r) for r in decontam.find_leaks(docs, items).collect())
+        return [r[:2] for r in rows], [x for r in rows for x in r[2:]]
+
+    pairs, values = found()
+    monkeypatch.setattr(decontam, "ITEMS_PER_BLOCK", 12)
+    split_pairs, split_values = found()
+    assert pairs and split_pairs == pairs and split_values == pytest.approx(values, rel=1e-9)
+
+
 def test_wand_equals_brute_force():
     rnd = random.Random(9)
     index = decontam.build_index(list(range(80)), [" ".join(f"w{rnd.randint(0, 150)}" for _ in range(20))
