@@ -236,3 +236,52 @@ def test_pipeline_stages_pass_their_columns_on(spark):
     ids = [r.doc_id for r in rows]
     assert len(ids) == len(set(ids)) and set(ids) <= {r.doc_id for r in docs.collect()}
     assert all(r.n_tokens == len(r.token_ids) // 4 and r.n_chars == len(r.text) for r in rows)
+
+
+def test_pipeline_equals_plain_references(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    from orderlake.llm import toxicity
+    from orderlake.llm.queries import vocabulary
+
+    rnd = random.Random(21)
+    prose = lambda n: " ".join(rnd.choice("abcdefgh") + str(rnd.randint(0, 5000)) for _ in range(n))
+    texts, items = [prose(rnd.randint(60, 120)) for _ in range(60)], [prose(20) for _ in range(5)]
+    texts += [t + " " + prose(1) for t in texts[:8]]                                    # near copies
+    texts += [f"{prose(20)} {t[50:250]} {prose(20)}" for t in texts[10:16]]             # repeated passages
+    texts += [texts[20][:200] + texts[21][:200]]                                        # nothing else
+    texts += [f"{prose(30)} {i} {prose(30)}" for i in items]                            # leaks
+    texts += [f"{prose(20)} you idiot {prose(5)} stupid moron {prose(20)}" for _ in range(60)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame([(d, t, "en", "web", len(t)) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(d, 1, int("idiot" in t)) for d, t in rows], "doc_id long, quality int, toxic int")
+    for name, table in (("documents", docs), ("labels", labels), ("benchmark", spark.createDataFrame(
+            list(enumerate(items)), "item_id long, text string"))):
+        table.repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    stored = {n: spark.read.parquet(f"{tmp_path}/{n}.parquet") for n in ("documents", "labels")}
+
+    # the model's verdicts are given
+    model = toxicity.fit(stored["documents"], stored["labels"])
+    scores = {r.doc_id: r["__score"] for r in toxicity.score_documents(stored["documents"], model, ["doc_id"]).collect()}
+    clean = [(d, t) for d, t in rows if scores[d] < toxicity.REJECT]
+    least = {d for d, _, c in _components(clean, 5, 80, 100) if c == d}
+    single = [(d, t) for d, t in clean if d in least]
+    first, cut = {}, []
+    for d, t in single:
+        for i in range(len(t) - 99):
+            first.setdefault(t[i:i + 100], (d, i))
+    for d, t in single:
+        gone = {j for i in range(len(t) - 99) if first[t[i:i + 100]] < (d, i) for j in range(i, i + 100)}
+        cut.append((d, "".join(c for j, c in enumerate(t) if j not in gone)))
+    left = [(d, t) for d, t in cut if t]
+    kept = [(d, t) for d, t in left if not any(i in t for i in items)]
+    assert len(rows) > len(clean) > len(single) > len(left) > len(kept) and dict(left).items() - dict(single).items()
+
+    reference = Tokenizer.from_file(vocabulary())
+    reference.no_truncation()
+    got = {r.doc_id: (r.text, r.n_chars, np.frombuffer(bytes(r.token_ids), "<u4").tolist(), r.n_tokens, r.lang, r.source)
+           for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    ids = {d: reference.encode(t, add_special_tokens=False).ids for d, t in kept}
+    assert got == {d: (t, len(t), ids[d], len(ids[d]), "en", "web") for d, t in kept}
