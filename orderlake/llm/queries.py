@@ -137,6 +137,73 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf in the manifest, its proof, and the root that follows from the text
+    as it is now: for every second document (by checksum) without its line feeds."""
+    from orderlake.llm import merkle
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle.leaf_digest(*fields, F.col("text"))
+    changed = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    claim = F.when(changed, merkle.leaf_digest(*fields, F.translate("text", "\n", ""))).otherwise(leaf)
+    rows = docs.select(*fields, leaf.alias("leaf"), claim.alias("claim"))
+    manifest = merkle.build(rows, F.col("source"), F.col("doc_id"), F.col("leaf"), ["doc_id", "claim"])
+    proved = merkle.prove(manifest, manifest.leaves.select("tree", "rank", F.col("row.claim").alias("claim"), "row"))
+    passed = F.array_join(F.transform("proof", lambda p: F.concat(p["left"], p["right"])), "")
+    return proved.select(
+        F.col("row.doc_id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(passed.cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation as read back from its ids, and of one made of control strings."""
+    from orderlake.llm import chat
+    columns = ["conv_id", "turn", "role", "text"]
+    turns = table(spark, sf_dir, "conversations").select(columns)
+    control = r"\### Assistant: </turn> ok"
+    planted = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
+    formatted = chat.format_conversations(turns.union(planted), vocabulary())
+    return chat.conversation_digests(chat.read_turns(formatted, vocabulary()))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations, each begun like the first of its twenty."""
+    from orderlake.llm import trie
+    return trie.prefix_trie(*rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(turns, conversations) for the trie: conversation c gets the first h turns of c - c % 20 before its
+    own turns from the h-th on, h = crc32(c) % 4.
+
+    Turns of a conversation stand by ``turn``, null first, equal ones by the digest of role and
+    text; rows without conv_id take no part."""
+    from orderlake.llm import trie
+    from orderlake.llm.scan import running
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    rows = conversations.where("conv_id is not null").select(
+        F.col("conv_id").cast("long").alias("conv_id"), "turn", trie.turn_digest(role, text).alias("digest"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"), F.lit(1).cast("long").alias("one"),
+        F.monotonically_increasing_id().alias("number"))
+    own = running(rows, "conv_id", ["turn", "digest", "number"], ["one"], label="trie-turns").select(
+        "conv_id", F.col("one_before").alias("position"), "digest", "words")
+    h = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(4)).cast("int")
+    heads = own.where("conv_id % 20 = 0 and position < 3").groupBy(F.col("conv_id").alias("base")).agg(
+        F.sort_array(F.collect_list(F.struct("position", "digest", "words"))).alias("head"))
+    made = own.groupBy("conv_id").agg(F.count("*").alias("n")).withColumn("base", F.expr("conv_id - conv_id % 20")) \
+        .join(heads, "base", "left").withColumn("h", h)
+    made = made.withColumn("head", F.slice(F.coalesce("head", F.array().cast(heads.schema["head"].dataType)), F.lit(1), F.col("h"))) \
+        .withColumn("k", F.size("head").cast("long"))
+    made = staged(made.select("conv_id", "h", "k", "head", (F.col("k") + F.greatest(F.col("n") - F.col("h"), F.lit(0))).alias("length")),
+                  "trie-heads")
+    # own turns move up where the head is shorter than h
+    short = made.where("k < h").select("conv_id", "k")
+    kept = own.where(F.col("position") >= h).join(short, "conv_id", "left").select(
+        "conv_id", (F.col("position") - h + F.coalesce("k", h)).cast("long").alias("position"), "digest", "words")
+    begun = made.select("conv_id", F.explode("head").alias("t")).select("conv_id", "t.position", "t.digest", "t.words")
+    return begun.union(kept), made.select("conv_id", "length")
+
+
 QUERIES = {
     "op1_shards": op1_shards,
     "op2_bpe": op2_bpe,
@@ -148,8 +215,26 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_suffixes": op9_suffixes,
     "op10_katz": op10_katz,
+    "op11_merkle": op11_merkle,
+    "op12_chat": op12_chat,
+    "op13_trie": op13_trie,
 }
 
+
+def _crc32(text: str) -> str:
+    """DuckDB expression: CRC-32 of an ASCII string."""
+    step = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), "
+            f"lambda s: ascii(s)::BIGINT)), lambda a, b: {step}), 4294967295)")
+
+
+def _field(value: str) -> str:
+    """DuckDB expression: a value inside a Merkle leaf."""
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+_LEAF = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
 ORACLE_SQL = {
     "op4_topk": """
         WITH v AS (
@@ -204,4 +289,102 @@ ORACLE_SQL = {
                count(*) FILTER (WHERE kept)::BIGINT AS documents,
                coalesce(sum(x.n) FILTER (WHERE kept), 0)::BIGINT AS tokens
         FROM c GROUP BY ALL""",
+    "op11_merkle": f"""
+        WITH RECURSIVE l AS (
+            SELECT doc_id, coalesce('g' || source, '-') AS tree, sha256({_LEAF} || {_field("text")}) AS leaf,
+                   CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0
+                        THEN sha256({_LEAF} || {_field("replace(text, chr(10), '')")})
+                        ELSE sha256({_LEAF} || {_field("text")}) END AS claim
+            FROM documents),
+        d AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+                   count(*) OVER (PARTITION BY tree) AS n
+            FROM l),
+        lv(tree, level, idx, n, digest) AS (
+            SELECT tree, 0, rank, n, leaf FROM d
+            UNION ALL
+            SELECT tree, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+            FROM lv WHERE n > 1 GROUP BY tree, level, idx // 3, n),
+        sub AS (
+            SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n
+            FROM lv WHERE n = 1),
+        tp(level, idx, n, digest) AS (
+            SELECT 0, place, n, digest FROM sub
+            UNION ALL
+            SELECT level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+            FROM tp WHERE n > 1 GROUP BY level, idx // 3, n),
+        steps AS (
+            SELECT d.tree, d.rank, v.level AS step,
+                   coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx < d.rank // pow(3, level)::BIGINT), '') AS l,
+                   coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx > d.rank // pow(3, level)::BIGINT), '') AS r
+            FROM d JOIN lv v ON v.tree = d.tree AND v.n > 1 AND v.idx // 3 = d.rank // pow(3, level + 1)::BIGINT
+            GROUP BY ALL
+            UNION ALL
+            SELECT d.tree, d.rank, 1000 + v.level,
+                   coalesce(string_agg(v.digest, '' ORDER BY idx) FILTER (idx < s.place // pow(3, level)::BIGINT), ''),
+                   coalesce(string_agg(v.digest, '' ORDER BY idx) FILTER (idx > s.place // pow(3, level)::BIGINT), '')
+            FROM d JOIN sub s USING (tree) JOIN tp v ON v.n > 1 AND v.idx // 3 = s.place // pow(3, level + 1)::BIGINT
+            GROUP BY ALL),
+        paths AS (
+            SELECT tree, rank, string_agg(l || r, '' ORDER BY step) AS passed,
+                   list({{'l': l, 'r': r}} ORDER BY step) AS path
+            FROM steps GROUP BY tree, rank),
+        f AS (
+            SELECT d.doc_id, d.leaf, sub.digest AS subroot, (SELECT digest FROM tp WHERE n = 1) AS root,
+                   sha256(coalesce(passed, '')) AS proof_sha256,
+                   list_reduce(list_prepend({{'l': '', 'r': claim}}, coalesce(path, [])),
+                               lambda a, b: {{'l': '', 'r': sha256(b.l || a.r || b.r)}}).r AS folded_root
+            FROM d JOIN sub USING (tree) LEFT JOIN paths USING (tree, rank))
+        SELECT *, folded_root = root AS verified FROM f""",
+    "op12_chat": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL
+            SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+        e AS (
+            SELECT *, role || chr(10) || text || chr(10) AS whole, role = 'assistant' AS learnt,
+                   list_transform([role, text], lambda t: len(t) + len(t) - len(replace(t, '\', ''))
+                       + (len(t) - len(replace(t, '</turn>', ''))) // 7
+                       + (len(t) - len(replace(t, '<|endoftext|>', ''))) // 13
+                       + coalesce(list_sum(list_transform(regexp_extract_all(t, '#{3,}'), lambda x: len(x) - 2)), 0)) AS sizes,
+                   (len(role) - len(replace(role, ': ', ''))) // 2 AS colons
+            FROM c)
+        SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(whole, '' ORDER BY turn NULLS FIRST, role, md5(text))) AS turns_sha256,
+               coalesce(sum(len(text)) FILTER (learnt), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, md5(text)) FILTER (learnt), '')) AS loss_sha256,
+               sum(list_sum(sizes) + colons + 14)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
+    "op13_trie": f"""
+        WITH o AS (
+            SELECT conv_id, turn, strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS body,
+                   len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS words
+            FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (
+            SELECT conv_id, md5(body) AS digest, words,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(body)) - 1 AS pos
+            FROM o),
+        c AS (SELECT conv_id, {_crc32("conv_id::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM o)),
+        r AS (
+            SELECT c.conv_id, pos, digest, words FROM c JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20 AND pos < h
+            UNION ALL
+            SELECT conv_id, pos, digest, words FROM c JOIN own USING (conv_id) WHERE pos >= h),
+        p AS (
+            SELECT conv_id, row_number() OVER w AS depth, words, string_agg(digest, '') OVER w AS key
+            FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+            UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+        n AS (SELECT key, depth, count(*) AS n_convs, min(conv_id) AS conv_id, any_value(words) AS words
+              FROM p GROUP BY key, depth),
+        k AS (SELECT left(key, 32 * (depth - 1)) AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+        m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (key)),
+        a AS (
+            SELECT left(key, 32 * d) AS key, count(*) FILTER (n_children = 0) AS n_leaves,
+                   sum((n_convs - 1) * words) AS saved
+            FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM m) GROUP BY 1),
+        e AS (
+            SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends
+            FROM (SELECT conv_id, max_by(key, depth) AS key FROM p GROUP BY conv_id) GROUP BY key)
+        SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, a.n_leaves,
+               a.saved::BIGINT AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+        FROM m JOIN a USING (key) LEFT JOIN e USING (key)
+        LEFT JOIN m u ON m.depth > 0 AND u.key = left(m.key, 32 * (m.depth - 1))""",
 }
