@@ -186,6 +186,7 @@ def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("conv_id").cast("long").alias("conv_id"), "turn", trie.turn_digest(role, text).alias("digest"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"), F.lit(1).cast("long").alias("one"),
         F.monotonically_increasing_id().alias("number"))
+    rows = staged(rows, "trie-digests")  # dealing out by range reads its input twice
     own = running(rows, "conv_id", ["turn", "digest", "number"], ["one"], label="trie-turns").select(
         "conv_id", F.col("one_before").alias("position"), "digest", "words")
     h = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(4)).cast("int")
