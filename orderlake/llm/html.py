@@ -3,11 +3,13 @@
 A page becomes lines: one per block element, with scripts, styles, comments and the
 elements that are page furniture by name, role, class or id left out, unless they are or
 hold an ``article`` or ``main``.  Class and id count by whole words of a short list; what
-they leave in doubt the weights decide.  Each line weighs its text without link text.  The weights of ``WINDOW`` lines in a row are summed; where the
+they leave in doubt the weights decide.  Each line weighs its text without link text; a heading, and a
+paragraph of an article, weighs its linked text too.  The weights of ``WINDOW`` lines in a row are summed; where the
 sums rise to the threshold is a surge point, where they fall below it again a dive point,
 and the lines between them are the text.  The threshold is the same for all lines of the
 page; a line with text of its own inside an ``article`` or ``main`` element, which says
-itself where text is, weighs ``SURGE`` more, so that no such line is too short.
+itself where text is, weighs ``SURGE`` more, so that no such line is too short.  On a page where nothing
+surges the paragraphs and headings are the text, and without any the heaviest line.
 
 Cases: a null or empty page gives the empty text; unclosed elements, stray ends and
 unfinished comments or tags are read as far as they go; furniture that is never closed
@@ -32,8 +34,8 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-zA-Z][^<>]*(?:>|\Z)", re.S)
-RAW = frozenset("script style noscript template textarea title svg iframe object math".split())
-FURNITURE = frozenset("nav footer aside form head button select dialog menu figcaption".split())
+RAW = frozenset("script style noscript template textarea title svg iframe object".split())
+FURNITURE = frozenset("nav footer aside form head button select dialog menu".split())
 CONTAINER = frozenset(("article", "main"))
 BLOCK = frozenset(
     "address article aside blockquote body br center dd details dialog div dl dt fieldset "
@@ -41,13 +43,20 @@ BLOCK = frozenset(
     "pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements of running text, whose links belong to it.
+PROSE = HEADINGS | frozenset("p blockquote pre figcaption".split())
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Whole class and id words that mark furniture, and roles that do.
 MARKS = frozenset(
     "ad ads advert advertisement advertising sponsored navbar navigation breadcrumb breadcrumbs "
     "sidebar toolbar footer site-footer masthead comments comments-area comment-list disqus "
-    "disqus_thread newsletter cookie-banner cookie-notice cookie-consent related-posts "
-    "related-articles share-buttons social-share social-links skip-link".split())
+    "disqus_thread newsletter cookie-banner cookie-notice cookie-consent cookie-bar ad-slot ad-box "
+    "advert-box related-posts related-articles share-buttons social-share social-links skip-link".split())
+#: Class words that mark furniture on block elements only (``comment`` also names a part of code).
+BLOCK_MARKS = frozenset("comment commentlist comment-form".split())
+#: Ids that mark reader comments wherever they stand.
+COMMENT_IDS = frozenset("respond comments disqus_thread".split())
+UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 ROLES = frozenset("navigation banner complementary contentinfo search menu menubar toolbar dialog "
                   "alertdialog".split())
 #: Elements whose id may mark furniture; ids of others are mostly made from headings.
@@ -61,7 +70,11 @@ def _is_furniture(name: str, attributes: str, inside: bool) -> bool:
         return False
     for key, *values in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
-        if key == "hidden" and not value or key == "aria-hidden" and value == "true":
+        if key == "hidden" and value in ("", "hidden", "true") or key == "aria-hidden" and value == "true" \
+                or key == "style" and UNSEEN.search(value):
+            return True
+        if key == "class" and name in BLOCK and not BLOCK_MARKS.isdisjoint(value.split()) \
+                or key == "id" and name in BLOCK and name not in HEADINGS and value in COMMENT_IDS:
             return True
         if key == "role" and not ROLES.isdisjoint(value.split()):
             return True
@@ -108,9 +121,10 @@ def _closings(tags: list) -> tuple[list[int], list[int]]:
     return closing, begun
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, whether in article or main) of every line that is no furniture."""
-    lines: list[tuple[str, int, bool]] = []
+def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
+    """(text, weight, whether in article or main, whether running text) of every line that is no furniture."""
+    lines: list[tuple[str, int, bool, bool]] = []
+    block = ""
     parts: list[str] = []
     linked = 0
     containers = links = 0
@@ -121,7 +135,8 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            lines.append((text, max(0, len(text) - linked), inside))
+            counts = block in HEADINGS or inside and block in PROSE
+            lines.append((text, len(text) if counts else max(0, len(text) - linked), inside, block in PROSE))
         parts.clear()
         linked = 0
 
@@ -139,6 +154,8 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         at = stop
         if name in BLOCK:
             flush(containers > 0)
+            if name not in VOID:
+                block = "" if end else name
         # an element that is article or main or holds one is never furniture
         if not end and closing[i] and name not in CONTAINER and begun[closing[i]] == begun[i] \
                 and _is_furniture(name, attributes, containers > 0):
@@ -159,15 +176,16 @@ def main_text(page: str | None) -> str:
     lines = page_lines(page) if page else []
     if not lines:
         return ""
-    weights = np.array([w for _, w, _ in lines], np.int64)
-    inside = np.array([x for _, _, x in lines], bool)
+    weights = np.array([w for _, w, _, _ in lines], np.int64)
+    inside = np.array([x for _, _, x, _ in lines], bool)
     # each side is read with the other side's lines as empty ones: the extra weight lifts
     # no line outside
     keep = between_surges(np.where(inside, 0, weights), SURGE) & ~inside
     keep |= between_surges(np.where(inside & (weights > 0), weights + SURGE, 0), SURGE) & inside
     if not keep.any():  # a page of short lines only: nothing surges
-        keep = weights > 0
-    return "\n".join(text for (text, _, _), kept in zip(lines, keep) if kept)
+        prose = np.array([x for _, _, _, x in lines], bool) & (weights > 0)
+        keep = prose if prose.any() else (np.arange(len(lines)) == weights.argmax()) & (weights > 0)
+    return "\n".join(text for (text, *_), kept in zip(lines, keep) if kept)
 
 
 def between_surges(weights: np.ndarray, threshold: int) -> np.ndarray:
