@@ -451,8 +451,7 @@ def q_g1_cancel(spark, sf_dir):
         "order_id", "cancel_reason", "cancel_reason_count", "is_return")
 
 
-@register("gold1_return_count", O.gold1_sql(
-    "items", ["order_id", "product_id", "return_count"]))
+@register("gold1_return_count", O.return_count_sql())
 def q_g1_return_count(spark, sf_dir):
     s = _g1(spark, sf_dir)
     items_m = S.item_metrics(s["items"])

@@ -528,6 +528,17 @@ def order_kpi_sql(names: list[str]) -> str:
                        + " FROM {orders}")
 
 
+def return_count_sql() -> str:
+    """M15 from the lines alone: an item row is a line and a choice of its generators, so the other columns
+    of the wide row are not needed to tell rows apart."""
+    return with_silver("items", "cancellation") + """
+SELECT order_id, product_id,
+  CASE WHEN product_id IS NOT NULL THEN nullif(count(c.k) OVER (PARTITION BY product_id), 0) END AS return_count
+FROM (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS order_id, ln, pk, sk, qty, unit, selling, l_tax, l_returnflag, l_linestatus,
+        CASE WHEN pk % 97 = 0 THEN NULL ELSE CAST(pk AS VARCHAR) END AS product_id, pt_i, cm_j, cat_c, dom_d FROM it)
+LEFT JOIN (SELECT DISTINCT order_id AS k FROM s_cancellation) c ON c.k = order_id"""
+
+
 # summary columns by the table they come from; profiles give two inputs
 _SUMMARY_PARTS = [
     ("orders", ["fulfillment_time", "status", "order_status_count", "sales_channel",

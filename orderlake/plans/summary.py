@@ -13,11 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.scalars import days_between, flag
+from orderlake.operators.adaptive import add_metric
 from orderlake.operators.joins import full_outer_chain
-from orderlake.operators.metrics import (add_global_metrics, add_group_metric,
-                                         add_key_metrics, add_partition_metric,
-                                         attach_metrics, distinct_count_with_null,
-                                         materialize)
+from orderlake.operators.metrics import (add_global_metrics, add_key_metrics, add_partition_metric,
+                                         attach_metrics, distinct_count_with_null, materialize)
 
 # Output columns of the summary, in order.
 SUMMARY_COLUMNS = [
@@ -91,8 +90,8 @@ def shipping_metrics(shipping: DataFrame) -> DataFrame:
 
 def item_metrics(items: DataFrame) -> DataFrame:
     """M10-M11 on deduplicated items: quantity sold per unique id, row sales value."""
-    out = add_group_metric(items, "unique_id",
-                           total_quantity_sold=F.sum("items_quantity"))
+    # ids are nearly unique: beyond a broadcast the rows move to their id once
+    out = add_metric(items, "unique_id", joined={"total_quantity_sold": F.sum("items_quantity")})
     return out.withColumn("total_sales_value",
                           F.col("items_quantity").cast("bigint")
                           * F.col("selling_price").cast("bigint"))

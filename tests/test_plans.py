@@ -27,3 +27,16 @@ def test_gold_plans_have_no_window_and_no_cross_join(spark):
 def test_summary_reads_bucketed_inputs(spark):
     plan = _plan(E.queries()["order_summary"](spark, SF))
     assert "Bucketed: true" in plan
+
+
+def test_quantity_per_unique_id_moves_rows_once(spark):
+    """M10 with broadcast off: item rows go to their id in one exchange."""
+    import re
+    E.queries()["gold1_total_quantity_sold"](spark, SF)  # stored inputs, made under the usual settings
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(E.queries()["gold1_total_quantity_sold"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1
