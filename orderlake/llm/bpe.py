@@ -31,8 +31,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_type
 
+from orderlake.llm.common import working
+
 #: Pre-tokenizer pattern of the byte-level tokenizers (a fixed value).
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: A space that a plain split at spaces would put in the wrong piece.
@@ -218,6 +221,7 @@ _LOADED: dict[str, ByteBPE] = {}
 
 def load(spec: str) -> ByteBPE:
     """The encoder of a vocabulary, kept for the life of the Python worker."""
+    working("bpe", _LOADED.clear)
     key = hashlib.sha256(spec.encode()).hexdigest()
     if key not in _LOADED:
         _LOADED[key] = ByteBPE(spec)
@@ -255,9 +259,20 @@ def map_texts(docs: DataFrame, vocabulary: str, keep: list[str], made: T.StructT
 
 def encode_documents(docs: DataFrame, vocabulary: str, keep: list[str],
                      text: str = "text") -> DataFrame:
-    """``keep`` columns plus ``token_ids`` (binary, unsigned 32-bit little-endian)."""
-    return map_texts(docs, vocabulary, keep, T.StructType([T.StructField("token_ids", T.BinaryType())]),
-                     lambda bpe, t: (bpe.encode(t),), text)
+    """``keep`` columns plus ``token_ids`` (binary, unsigned 32-bit little-endian).  Only the text goes to Python; a
+    ``token_ids`` column among those kept is refused."""
+    if "token_ids" in keep:
+        raise ValueError("the documents have a column token_ids already")
+    shared = docs.sparkSession.sparkContext.broadcast(read_spec(vocabulary))
+
+    @arrow_udf(T.BinaryType())
+    def encoded(texts: pa.Array) -> pa.Array:
+        bpe, out = load(shared.value), []
+        for at in range(0, len(texts), 64):
+            out += [bpe.encode(t) for t in texts.slice(at, 64).to_pylist()]
+        return pa.array(out, pa.binary())
+
+    return docs.select(*keep, encoded(docs[text]).alias("token_ids"))
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str, keep: list[str]) -> DataFrame:

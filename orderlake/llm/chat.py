@@ -122,7 +122,7 @@ def format_conversations(turns: DataFrame, vocabulary: str, learn: tuple[str, ..
 
     def write(batch):
         template = Template(bpe.load(spec.value), learn)
-        for piece in pieces([batch], most=1 << 20):
+        for piece in pieces([batch], most=1 << 20, owner="bpe"):
             made = [template.write(r, t) for r, t in zip(piece.column("role").to_pylist(),
                                                          piece.column("text").to_pylist())]
             n = np.array([len(i) for i, _ in made], np.int64)

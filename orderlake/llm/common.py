@@ -8,6 +8,8 @@ one row per token.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 import uuid
 from pathlib import Path
@@ -38,8 +40,10 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 
-#: Spark's setting to remove a query's shuffle files when the query has ended.
-DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while a staged table is written: a query's shuffle files go when it has ended, and record
+#: batches of long texts stay small (both sides of the pipe hold them, next to the sort buffers).
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+           "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
@@ -49,12 +53,14 @@ def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
     spark = df.sparkSession
     path = scratch(spark, label)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    before = spark.conf.get(DROP_SHUFFLES, None)
-    spark.conf.set(DROP_SHUFFLES, "true")
+    before = {k: spark.conf.get(k, None) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         writer.parquet(path)
     finally:
-        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -82,11 +88,45 @@ def _narrow(a: np.ndarray) -> np.ndarray:
     return a
 
 
+# --- memory of the workers -------------------------------------------------------------
+
+_HELD: dict[str, object] = {}
+
+
+def working(owner: str, drop=None) -> None:
+    """Called where an operator begins in a Python worker, which Spark uses again for the next one: caches
+    that other operators left are dropped.  ``drop`` empties the caches of ``owner``."""
+    others = [o for o in _HELD if o != owner]
+    for other in others:
+        _HELD.pop(other)()
+    if others:
+        gc.collect()
+        release()
+    if drop is not None:
+        _HELD[owner] = drop
+
+
+def release() -> None:
+    """Give memory that is free back to the system; a worker otherwise keeps what it once grew to."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 # --- texts as bytes --------------------------------------------------------------------
 
-def pieces(batches, column: str = "text", most: int = 4 << 20):
+def pieces(batches, column: str = "text", most: int = 4 << 20, owner: str = "texts"):
     """Cut record batches so that one piece holds at most ``most`` bytes of text, unless a
     single text is longer."""
+    working(owner, _POWERS.clear if owner == "texts" else None)
+    yield from _pieces(batches, column, most)
+    if owner == "texts":
+        release()
+
+
+def _pieces(batches, column: str, most: int):
     for batch in batches:
         if not batch.num_rows:
             continue

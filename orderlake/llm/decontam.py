@@ -346,19 +346,20 @@ def _search(shared, least: float, overlap: float, kind: pa.DataType):
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """Rows of ``docs`` without a leak, all columns: a narrow filter, no join."""
+    """Rows of ``docs`` without a leak, all columns: a narrow filter, no join.  Only the text goes to Python."""
     kept = docs
     for index in index_blocks(items):
-        kept = kept.mapInArrow(_without_leaks(index, text), docs.schema)
+        kept = kept.where(~_leaky(index)(F.col(text)))
     return kept
 
 
-def _without_leaks(shared, text: str):
-    def run(batches):
-        index = shared.value
-        for batch in pieces(batches, text, 2 << 20):
-            bad = {d for d, *_ in _leaks(index, *word_hashes(*flat(batch.column(text))),
-                                         LEAST_SCORE, LEAST_OVERLAP)}
-            yield batch.filter(pa.array([i not in bad for i in range(batch.num_rows)], pa.bool_()))
+def _leaky(shared):
+    @F.arrow_udf("boolean")
+    def leaky(texts: pa.Array) -> pa.Array:
+        index, out = shared.value, []
+        for piece in pieces([pa.RecordBatch.from_arrays([texts], ["text"])], most=2 << 20):
+            bad = {d for d, *_ in _leaks(index, *word_hashes(*flat(piece.column("text"))), LEAST_SCORE, LEAST_OVERLAP)}
+            out += [i in bad for i in range(piece.num_rows)]
+        return pa.array(out, pa.bool_())
 
-    return run
+    return leaky

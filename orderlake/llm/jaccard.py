@@ -405,7 +405,7 @@ def classes(docs: DataFrame, words: int, similarity: tuple[int, int], doc_id: st
         return rows, plain
 
     groups = staged(docs.mapInArrow(_send(bands, plan, words), "bucket int, payload binary")
-                    .repartition(buckets, "bucket").sortWithinPartitions("bucket")
+                    .repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
                     .mapInArrow(_find_groups, "bucket int, payload binary"), "sketch-groups")
     pairs = staged(groups.mapInArrow(_stars(bands), "a long, b long").distinct(), "pairs")
     # every class of a group, with the bucket it is in

@@ -541,7 +541,7 @@ def find_repeats(docs: DataFrame, length: int = 100, doc_id: str = "doc_id",
 
     named = staged(rows.mapInArrow(_name_rows, "key long, tid long, n long"), "text-names")
     told = staged(rows.mapInArrow(_send_anchors(length, k, parts), "part int, payload binary")
-                  .repartition(parts, "part").sortWithinPartitions("part")
+                  .repartitionById(parts, "part").sortWithinPartitions("part")
                   .mapInArrow(_repeated_anchors(COMMON), "tid long, payload binary"), "anchors-again")
     # equal texts: the smallest doc_id takes part
     first = staged(named.groupBy("tid", "n").agg(F.min("key").alias("key"), F.max("key").alias("top")), "texts")
@@ -557,15 +557,15 @@ def find_repeats(docs: DataFrame, length: int = 100, doc_id: str = "doc_id",
     texts = _named_texts(rows, asked).select(
         where.alias("part"), F.lit(1).alias("kind"), "key", "tid", "text",
         F.lit(None).cast("binary").alias("payload"))
-    runs = staged(notes.unionByName(texts).repartition(parts, "part").sortWithinPartitions("part", "kind")
+    runs = staged(notes.unionByName(texts).repartitionById(parts, "part").sortWithinPartitions("part", "kind")
                   .mapInArrow(_suffix_runs(length, k, parts), "kind int, part int, payload binary"),
                   "suffix-runs", partition_by="kind")
     made = "part int, payload binary"
     splitters = _splitters(runs.where("kind = 0"), k, parts)
     merged = runs.where("kind = 0").select("payload").mapInArrow(
-        _cut_runs(splitters), "part int, payload binary").repartition(parts, "part") \
+        _cut_runs(splitters), "part int, payload binary").repartitionById(parts, "part") \
         .sortWithinPartitions("part").mapInArrow(_merge_range(length, k, parts), made)
-    common = runs.where("kind = 1").select("part", "payload").repartition(parts, "part") \
+    common = runs.where("kind = 1").select("part", "payload").repartitionById(parts, "part") \
         .sortWithinPartitions("part").mapInArrow(_merge_common(length, parts), made)
     found = merged.unionByName(common) \
         .unionByName(runs.where("kind = 2").select("payload").mapInArrow(_deal(parts), made)) \
@@ -697,7 +697,7 @@ def _apply(docs: DataFrame, length: int, doc_id: str, text: str, finish, schema)
                     yield finish(p.select(names), [spans_of(begin[x:y], size[x:y]) if y > x else None
                                                    for x, y in zip(lo, hi)])
 
-    return rows.unionByName(notes).repartition(parts, "__part").sortWithinPartitions("__part", "__kind") \
+    return rows.unionByName(notes).repartitionById(parts, "__part").sortWithinPartitions("__part", "__kind") \
         .mapInArrow(run, schema)
 
 

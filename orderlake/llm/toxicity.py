@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.common import pieces, staged
+from orderlake.llm.common import pieces, release, staged, working
 
 #: Most labelled rows that training takes, about.
 SAMPLE_ROWS = 24_000
@@ -134,18 +134,19 @@ class Model:
 
 
 def _with_features(docs: DataFrame, lexicon: frozenset[str], text: str, keep: list[str]) -> DataFrame:
-    schema = T.StructType([*(docs.schema[c] for c in keep),
-                           T.StructField("__features", T.ArrayType(T.DoubleType()))])
+    """``keep`` columns plus ``__features``.  Only the text goes to Python and only the features come back."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
-    def run(batches):
-        for batch in pieces(batches, "__text", 2 << 20):
-            rows = [features(t, shared.value) for t in batch.column("__text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(rows, pa.list_(pa.float64()))],
-                [*keep, "__features"])
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def measured(texts: pa.Array) -> pa.Array:
+        working("toxicity")
+        words, rows = shared.value, []
+        for at in range(0, len(texts), 64):
+            rows += [features(t, words) for t in texts.slice(at, 64).to_pylist()]
+        release()
+        return pa.array(rows, pa.list_(pa.float64()))
 
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, measured(docs[text]).alias("__features"))
 
 
 def learn_lexicon(rows: DataFrame) -> frozenset[str]:
@@ -232,12 +233,16 @@ def score_documents(docs: DataFrame, model: Model, keep: list[str], text: str =
     told = trees.transform(rows).withColumn("__raw", _raw(F.col("__probability")))
     # the calibration is a piecewise linear function of a few points
     xs, ys = [float(x) for x in model.calibration.boundaries], [float(y) for y in model.calibration.predictions]
-    value = F.lit(ys[-1])
-    for x0, x1, y0, y1 in reversed(list(zip(xs, xs[1:], ys, ys[1:]))):
-        slope = (y1 - y0) / (x1 - x0) if x1 > x0 else 0.0
-        value = F.when(F.col("__raw") <= x1, F.lit(y0) + (F.col("__raw") - x0) * slope).otherwise(value)
-    value = F.when(F.col("__raw") <= xs[0], F.lit(ys[0])).otherwise(value)
-    score = value * (1 - RAW_SHARE) + F.col("__raw") * RAW_SHARE
+
+    def calibrated(raw: Column) -> Column:
+        value = F.lit(ys[-1])
+        for x0, x1, y0, y1 in reversed(list(zip(xs, xs[1:], ys, ys[1:]))):
+            slope = (y1 - y0) / (x1 - x0) if x1 > x0 else 0.0
+            value = F.when(raw <= x1, F.lit(y0) + (raw - x0) * slope).otherwise(value)
+        return F.when(raw <= xs[0], F.lit(ys[0])).otherwise(value) * (1 - RAW_SHARE) + raw * RAW_SHARE
+
+    # inside a lambda, so that the trees run once a row and not once for every branch
+    score = F.transform(F.array("__raw"), calibrated)[0]
     return told.select(*keep, F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)).alias("__score"))
 
 
