@@ -112,7 +112,7 @@ def test_gold_after_batches_equals_a_rebuild(spark, tmp_path, monkeypatch):
     lake = str(tmp_path)
     bronze = materialize(bronze_from_dir(spark, SF).where(F.pmod(F.xxhash64("orderDetails"), F.lit(7)) == 0), "some")
     part = F.pmod(F.xxhash64("orderDetails"), F.lit(10))
-    load = lambda rows: bronze_to_silver(rows, lake, "ol_kept", M.INPUTS, DAY, changes=True, parts=16)
+    load = lambda rows: bronze_to_silver(rows, lake, "ol_kept", M.INPUTS, DAY, changes=True, parts=4)
     load(bronze.where(part < 6))
     assert M.update_gold(spark, lake, "ol_kept", DAY) == "rebuilt"
     _assert_equals_rebuild(spark, lake, "ol_kept")
@@ -160,8 +160,8 @@ def test_update_reads_only_touched_parts(spark, tmp_path, monkeypatch):
     """The silver files read for one changed order are those of its parts."""
     lake = str(tmp_path)
     load = lambda ids, status: bronze_to_silver(
-        _bronze(spark, *({"orderId": i, "status": status} for i in ids)), lake, "ol_few", M.INPUTS, DAY, changes=True, parts=32)
-    load([f"o{i}" for i in range(100)], "a")
+        _bronze(spark, *({"orderId": i, "status": status} for i in ids)), lake, "ol_few", M.INPUTS, DAY, changes=True, parts=8)
+    load([f"o{i}" for i in range(40)], "a")
     M.update_gold(spark, lake, "ol_few", DAY)
     load(["o7"], "b")
     read: list[set] = []
