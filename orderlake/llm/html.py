@@ -55,7 +55,7 @@ MARKS = frozenset(
 #: Class words that mark furniture on block elements only (``comment`` also names a part of code).
 BLOCK_MARKS = frozenset("comment commentlist comment-form".split())
 #: Ids that mark reader comments wherever they stand.
-COMMENT_IDS = frozenset("respond comments disqus_thread".split())
+COMMENT_IDS = frozenset("respond disqus_thread".split())
 UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 ROLES = frozenset("navigation banner complementary contentinfo search menu menubar toolbar dialog "
                   "alertdialog".split())
@@ -74,7 +74,7 @@ def _is_furniture(name: str, attributes: str, inside: bool) -> bool:
                 or key == "style" and UNSEEN.search(value):
             return True
         if key == "class" and name in BLOCK and not BLOCK_MARKS.isdisjoint(value.split()) \
-                or key == "id" and name in BLOCK and name not in HEADINGS and value in COMMENT_IDS:
+                or key == "id" and name in NAMED and value in COMMENT_IDS:
             return True
         if key == "role" and not ROLES.isdisjoint(value.split()):
             return True
