@@ -11,6 +11,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import pickle
+import time
 import uuid
 from pathlib import Path
 
@@ -91,6 +92,9 @@ def _narrow(a: np.ndarray) -> np.ndarray:
 # --- memory of the workers -------------------------------------------------------------
 
 _HELD: dict[str, object] = {}
+#: Seconds between two times that a worker gives memory back, and when it last did.
+RELEASE_EVERY = 5.0
+_RELEASED = [0.0]
 
 
 def working(owner: str, drop=None) -> None:
@@ -107,7 +111,10 @@ def working(owner: str, drop=None) -> None:
 
 
 def release() -> None:
-    """Give memory that is free back to the system; a worker otherwise keeps what it once grew to."""
+    """Give memory that is free back to the system, now and then; a worker otherwise keeps what it once grew to."""
+    if time.monotonic() - _RELEASED[0] < RELEASE_EVERY:
+        return
+    _RELEASED[0] = time.monotonic()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
