@@ -8,6 +8,7 @@ import json
 import __spark_entry__ as E
 from orderlake.operators.metrics import materialize
 from orderlake.plans import layers as L
+from orderlake.plans.silver import silver_from_bronze
 from orderlake.sources import documents as D
 from orderlake.sources.ingest import read_documents, write_bronze
 
@@ -19,6 +20,19 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
+def _simple_plan(df) -> str:
+    setting = "spark.sql.debug.maxToStringFields"
+    before = df.sparkSession.conf.get(setting)
+    df.sparkSession.conf.set(setting, "1000")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.select("*").explain()
+        return buf.getvalue()
+    finally:
+        df.sparkSession.conf.set(setting, before)
+
+
 def _tables(spark, folder):
     """Two orders, one with lines out of order and a flag that needs escapes, one without lines; a stray line."""
     spark.sql("""SELECT * FROM VALUES (1L, 1L, 'F', 10.5D, TIMESTAMP '2024-01-01 00:00:00', '1-URGENT'),
@@ -64,6 +78,16 @@ def test_one_table_is_built_without_storing_documents(spark, tmp_path):
     assert not any(label.startswith("__documents__") for label in L._layer(spark, folder))
 
 
+def test_documents_are_built_and_parsed_once(spark, tmp_path):
+    folder = _tables(spark, tmp_path)
+    items = silver_from_bronze(D.bronze_from_dir(spark, folder), "items")
+    assert items.count() == 4
+    steps = [line for line in _simple_plan(items).splitlines() if "from_json" in line]
+    assert len(steps) == 1 and "Project" in steps[0]  # no filter parses the document again
+    assert "to_json" not in steps[0].lower() and "concat(" not in steps[0]  # nor does the parse build it
+    assert "StructsToJson" in _simple_plan(items)
+
+
 def test_metric_prepares_the_inputs_it_reads(spark, tmp_path):
     folder = _tables(spark, tmp_path)
     assert E.queries()["gold1_fulfillment_time"](spark, folder).count() == 2
