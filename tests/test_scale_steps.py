@@ -5,6 +5,8 @@ import gzip
 import io
 import json
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 from orderlake.operators.metrics import materialize
 from orderlake.plans import layers as L
@@ -71,6 +73,29 @@ def test_line_texts_are_neither_sorted_nor_aggregated(spark, tmp_path):
     assert not any(") Sort" in step and "uniqueId" in step for step in plan.split("\n\n"))
 
 
+def test_order_text_is_written_by_one_concat(spark, tmp_path):
+    odd = 'a"b\\c\n\t\x01é🙂/'
+    tables = D.load_tables(spark, _tables(spark, tmp_path))
+    tables["orders"] = tables["orders"].withColumn("o_orderpriority", F.concat(F.lit("2-"), F.lit(odd)))
+    tables["customer"] = tables["customer"].withColumn("c_name", F.lit(odd)).withColumn("c_mktsegment", F.lit(odd))
+    bronze = D.build_bronze(tables)
+    plan = _simple_plan(bronze)
+    assert "StructField(orderId" not in plan  # no struct of all fields goes through to_json
+    assert "collect_list" not in plan and "listagg" in plan  # nor are an order's texts gathered as arrays
+    one, two = sorted((json.loads(r.orderDetails) for r in bronze.collect()), key=lambda doc: doc["orderId"])
+    assert one["salesChannel"] == "2-" + odd and one["shippingData"]["address"]["receiverName"] == odd
+    assert one["clientProfileData"]["customerClass"] == odd
+    assert one["clientProfileData"]["email"] == odd.lower() + "@example.com"
+    assert one["ratesAndBenefitsData"]["rateAndBenefitsIdentifiers"][0]["matchedParameters"] == {"channel": "2-" + odd}
+    assert one["status"] == "invoiced" and one["value"] == 1050 and one["isCompleted"] is True
+    assert one["creationDate"].startswith("2024-01-01T00:00:00.000") and one["lastChange"].startswith("2024-01-02T")
+    assert one["paymentData"]["transactions"][0]["payments"][0]["connectorResponses"] == {"Tid": "tid1"}
+    assert len(one["items"]) == 3 and "cancellationData" not in one
+    assert "clientProfileData" not in two and "receiverName" not in two["shippingData"]["address"]
+    assert "logisticsInfo" not in two["shippingData"] and two["marketingData"]["marketingTags"] == ["tag0", "tag1"]
+    assert two["cancellationData"]["RequestedByUser"] is True and "itemMetadata" not in two
+
+
 def test_one_table_is_built_without_storing_documents(spark, tmp_path):
     folder = _tables(spark, tmp_path)
     assert E.queries()["silver_items"](spark, folder).count() == 4  # one line has two price tags
