@@ -134,3 +134,33 @@ def test_json_lines_are_compressed(spark, tmp_path):
     assert files and all(f.name.endswith(".json.gz") for f in files)
     assert sum(len(gzip.open(f).readlines()) for f in files) == 20
     assert read_documents(spark, str(tmp_path / "lines")).count() == 20
+
+
+def test_texts_of_customers_and_orders_are_made_once(spark, tmp_path):
+    plan = _simple_plan(D.bronze_from_dir(spark, _tables(spark, tmp_path)))
+    document = next(line for line in plan.splitlines() if '"sellerOrderId"' in line)
+    assert "RLIKE(c_" not in document and "RLIKE(o_orderpriority" not in document  # these are quoted below
+    assert 'coalesce(concat(,"items":' not in document  # an order's lines are copied into the document alone
+    assert "substring(invoke(StructsToJson" not in plan  # a text cut by its own length would be made twice
+
+
+def test_orders_without_key_or_price_leave_members_out(spark, tmp_path):
+    tables = D.load_tables(spark, _tables(spark, tmp_path))
+    tables["orders"] = tables["orders"].withColumn("o_orderkey", F.expr("nullif(o_orderkey, 2)")) \
+        .withColumn("o_totalprice", F.expr("nullif(o_totalprice, 10.5)"))
+    docs = [json.loads(r.orderDetails) for r in D.build_bronze(tables).collect()]
+    priceless = next(d for d in docs if d.get("orderId") == "1")
+    keyless = next(d for d in docs if "orderId" not in d)
+    assert "value" not in priceless and priceless["paymentData"]["transactions"][0]["payments"][0]["id"] == "P1-0"
+    assert len(priceless["items"]) == 3 and len(priceless["shippingData"]["logisticsInfo"]) == 3
+    assert keyless["value"] == 300 and keyless["clientPreferencesData"] == {"locale": "en-US"}
+    assert "items" not in keyless and keyless["shippingData"]["address"]["country"] == "BRA"
+
+
+def test_item_queries_parse_the_fields_they_read(spark, tmp_path):
+    folder = _tables(spark, tmp_path)
+    plan = _simple_plan(E.queries()["explode_map"](spark, folder))
+    parse = next(line for line in plan.splitlines() if "from_json" in line)
+    assert "itemAttachment" in parse and "sellingPrices" not in parse and "offerings" not in parse
+    found = {(r.unique_id, r.price_tag, r.category_name) for r in E.queries()["explode_chain"](spark, folder).collect()}
+    assert ("1-5-7", "tag-O", "Cat7") in found and len(found) == 4
