@@ -20,7 +20,9 @@ dense parity sketch.
 No link between different components is lost, so the components are exact.  (Shingles are
 compared by 64-bit hashes.)
 
-Work is spread by (pair of bands, share of the pieces), so a crowded band is split.
+Work is spread by (pair of bands, range of the pieces' codes), so a crowded band is split and a set sends each of
+its pieces once.  The groups found are dealt again by their smallest class, where equal ones become one, and
+only then get the sizes and dense sketches of their classes.
 
 Cases: a text without words (null, empty, blank) has the empty set and is its own component;
 a text with fewer words than a shingle is one shingle; a null doc_id takes part, and the
@@ -42,6 +44,8 @@ from orderlake.llm.common import flat, mix, pack, pieces, staged, unpack, word_h
 BUCKET_PIECES = 1_500_000
 #: 64-bit words of the dense sketch.
 DENSE = 16
+#: Members from which on a group is dealt by its own hash.
+LARGE_GROUP = 256
 #: Rounds in which the classes of a group meet one of them, before all that are left meet.
 STAR_ROUNDS = 1
 #: Code of a piece without a set bit, where such pieces are sent.
@@ -132,14 +136,32 @@ def _plan(bands: Bands, in_band: dict[int, int]) -> dict[int, tuple[int, int]]:
     for f, n in enumerate(bands.pieces):
         rows = in_band.get(f, 0) + in_band.get(f + 1, 0)
         if n and in_band.get(f, 0) and rows > 1:
-            buckets = min(n, max(1, -(-rows * n // BUCKET_PIECES)))
+            buckets = max(1, -(-rows * n // BUCKET_PIECES))
             plan[f] = (first, buckets)
             first += buckets
     return plan
 
 
+def _share(hashes: np.ndarray, count: int) -> np.ndarray:
+    """Which of ``count`` equal ranges each hash is in."""
+    return (((hashes >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)).astype(np.int64)
+
+
+def _dealt(buckets: np.ndarray):
+    """(bucket, rows in it) of each bucket that has rows."""
+    order = np.argsort(buckets, kind="stable")
+    found, begin = np.unique(buckets[order], return_index=True)
+    yield from zip(found.tolist(), np.split(order, begin[1:]))
+
+
+def _payload(bucket: int, *arrays: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([pack(*arrays)], pa.binary())],
+                                      ["bucket", "payload"])
+
+
 def _send(bands: Bands, plan: dict, words: int):
-    """Packed pieces of each batch: one row per bucket."""
+    """Packed pieces of each batch, names and codes only: one row per bucket, which is a range of codes, so that a
+    set sends each piece once however many buckets there are."""
 
     def run(batches):
         for batch in pieces(batches):
@@ -154,59 +176,101 @@ def _send(bands: Bands, plan: dict, words: int):
             for f, members in held.items():
                 first, buckets = plan[f]
                 names = np.array([m[0] for m in members], np.int64)
-                sizes = np.array([len(m[1]) for m in members], np.int64)
-                dense = np.concatenate([dense_sketch(m[1]) for m in members])
                 codes = np.stack([bands.sketch_pieces(m[1], f) for m in members])
-                for j in range(buckets):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([first + j], pa.int32()),
-                         pa.array([pack(names, sizes, dense, np.ascontiguousarray(codes[:, j::buckets]).ravel())],
-                                  pa.binary())], ["bucket", "payload"])
+                rows, piece = np.nonzero(codes)
+                # equal codes of different pieces are no agreement
+                codes = mix(codes[rows, piece] ^ mix(piece.astype(np.uint64) + np.uint64(1)))
+                for bucket, here in _dealt(_share(codes, buckets)):
+                    used, at = np.unique(rows[here], return_inverse=True)
+                    yield _payload(first + bucket, names[used], at, codes[here])
 
     return run
 
 
-def _groups(payloads: list[bytes]):
-    """Distinct groups of classes that agree in a piece of one bucket.
-
-    Returns (names, sizes, dense sketches, member rows of all groups, cuts)."""
-    parts = [unpack(p) for p in payloads]
-    names = np.concatenate([p[0].astype(np.int64) for p in parts])
-    sizes = np.concatenate([p[1].astype(np.int64) for p in parts])
-    dense = np.concatenate([p[2].reshape(-1, DENSE) for p in parts])
-    codes = np.concatenate([p[3].reshape(len(p[0]), -1) for p in parts])
-    names, one = np.unique(names, return_index=True)
-    sizes, dense, codes = sizes[one], dense[one], codes[one]
-    seen: set[bytes] = set()
-    members, cuts = [], [0]
-    for column in codes.T:
-        order = np.argsort(column, kind="stable")
-        value = column[order]
-        begin = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
-        end = np.concatenate((begin[1:], [len(value)]))
-        for a, b in zip(begin[end - begin > 1], end[end - begin > 1]):
-            if value[a] == 0:
-                continue
-            rows = np.sort(order[a:b])
-            key = rows.tobytes()
-            if key not in seen:
-                seen.add(key)
-                members.append(rows)
-                cuts.append(cuts[-1] + len(rows))
-    rows = np.concatenate(members) if members else np.zeros(0, np.int64)
-    return names, sizes, dense, rows, np.array(cuts, np.int64)
-
-
-def _find_groups(batches):
-    """Rows (bucket, payload) of the groups of each bucket; only classes in a group stay."""
+def _distinct_groups(names: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of groups of sorted names, which begin at ``begin``: the first of each set of equal ones, the sizes of all and
+    a hash of each."""
+    size = np.diff(np.concatenate((begin, [len(names)])))
+    if not len(begin):
+        return begin, size, np.zeros(0, np.uint64)
+    sign = mix(np.add.reduceat(mix(names.view(np.uint64)), begin) ^ size.astype(np.uint64))
+    told = np.stack((sign, names[begin].view(np.uint64), size.astype(np.uint64)), axis=1)
+    return np.sort(np.unique(told, axis=0, return_index=True)[1]), size, sign
+
+
+def _members_of(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions of the members of groups, one group after the other."""
+    cuts = np.concatenate(([0], np.cumsum(size)))
+    return np.repeat(begin - cuts[:-1], size) + np.arange(cuts[-1])
+
+
+def _find_groups(buckets: int):
+    """Distinct groups of classes that agree in a piece of a bucket, dealt by their smallest name: groups of the same
+    classes meet there, and those of a cluster are mostly together.  A large group goes by its own hash."""
+
+    def run(batches):
+        for _, payloads in _runs(batches):
+            parts = [unpack(p) for p in payloads]
+            names = np.concatenate([p[0].astype(np.int64)[p[1].astype(np.int64)] for p in parts])
+            codes = np.concatenate([p[2] for p in parts])
+            del parts
+            order = np.lexsort((names, codes))
+            names, codes = names[order], codes[order]
+            one = np.concatenate(([True], (codes[1:] != codes[:-1]) | (names[1:] != names[:-1])))
+            names, codes = names[one], codes[one]  # the same set comes from several senders
+            begin = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+            size = np.diff(np.concatenate((begin, [len(codes)])))
+            begin, size = begin[size > 1], size[size > 1]
+            names = names[_members_of(begin, size)]
+            begin = np.cumsum(size) - size
+            kept, size, sign = _distinct_groups(names, begin)
+            home = np.where(size[kept] < LARGE_GROUP, mix(names[begin[kept]].view(np.uint64)), sign[kept])
+            for bucket, here in _dealt(_share(home, buckets)):
+                groups = kept[here]
+                yield _payload(bucket, names[_members_of(begin[groups], size[groups])], size[groups])
+
+    return run
+
+
+def _settle_groups(batches):
+    """Rows (bucket, payload) of the distinct groups of each bucket: names, member rows of all groups, cuts."""
     for bucket, payloads in _runs(batches):
-        names, sizes, dense, rows, cuts = _groups(payloads)
-        used, at = np.unique(rows, return_inverse=True)
-        if len(used):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int32()),
-                 pa.array([pack(names[used], sizes[used], dense[used].ravel(), at, cuts)], pa.binary())],
-                ["bucket", "payload"])
+        parts = [unpack(p) for p in payloads]
+        names = np.concatenate([p[0].astype(np.int64) for p in parts])
+        size = np.concatenate([p[1].astype(np.int64) for p in parts])
+        begin = np.cumsum(size) - size
+        kept, size, _ = _distinct_groups(names, begin)
+        used, rows = np.unique(names[_members_of(begin[kept], size[kept])], return_inverse=True)
+        yield _payload(bucket, used, rows, np.concatenate(([0], np.cumsum(size[kept]))))
+
+
+def _sketches(batches):
+    """set_id, size and dense sketch of whole sets."""
+    for batch in batches:
+        sets = [np.frombuffer(s, np.uint64) for s in batch.column("payload").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("set_id"), pa.array([len(s) for s in sets], pa.int64()),
+             pa.array([dense_sketch(s).tobytes() for s in sets], pa.binary())], ["set_id", "n", "dense"])
+
+
+def _gather(key, rows):
+    """Names, sizes and dense sketches of a bucket's classes, in the order of their names."""
+    names = rows.column("set_id").to_numpy()
+    order = np.argsort(names)
+    dense = np.frombuffer(b"".join(rows.column("dense").to_pylist()), np.uint64).reshape(-1, DENSE)
+    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "sketches": pa.array(
+        [pack(names[order], rows.column("n").to_numpy()[order], dense[order].ravel())], pa.binary())})
+
+
+def _with_sketches(batches):
+    """Groups of a bucket with the sizes and dense sketches of its classes."""
+    for batch in batches:
+        for bucket, payload, sketches in zip(*(batch.column(c).to_pylist() for c in ("bucket", "payload", "sketches"))):
+            names, rows, cuts = unpack(payload)
+            known, sizes, dense = unpack(sketches)
+            if not np.array_equal(known.astype(np.int64), names.astype(np.int64)):
+                raise ValueError(f"bucket {bucket}: sets without a text")
+            yield _payload(bucket, names, sizes, dense, rows, cuts)
 
 
 def _runs(batches):
@@ -404,16 +468,22 @@ def classes(docs: DataFrame, words: int, similarity: tuple[int, int], doc_id: st
     if not buckets:
         return rows, plain
 
-    groups = staged(docs.mapInArrow(_send(bands, plan, words), "bucket int, payload binary")
+    packed = "bucket int, payload binary"
+    agreed = staged(docs.mapInArrow(_send(bands, plan, words), packed)
                     .repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
-                    .mapInArrow(_find_groups, "bucket int, payload binary"), "sketch-groups")
-    pairs = staged(groups.mapInArrow(_stars(bands), "a long, b long").distinct(), "pairs")
+                    .mapInArrow(_find_groups(buckets), packed), "agreed")
+    bare = staged(agreed.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
+                  .mapInArrow(_settle_groups, packed), "groups")
     # every class of a group, with the bucket it is in
-    members = staged(groups.mapInArrow(_members, "bucket int, set_id long"), "members")
+    members = staged(bare.mapInArrow(_members, "bucket int, set_id long"), "members")
 
     # whole sets of these classes only, from one text each
     asked = members.select("set_id").distinct()
     sets = staged(_whole_sets(docs, rows, asked, words), "whole-sets")
+    sketches = members.join(sets.mapInArrow(_sketches, "set_id long, n long, dense binary"), "set_id") \
+        .groupBy("bucket").applyInArrow(_gather, "bucket int, sketches binary")
+    groups = staged(bare.join(sketches, "bucket").mapInArrow(_with_sketches, packed), "sketch-groups")
+    pairs = staged(groups.mapInArrow(_stars(bands), "a long, b long").distinct(), "pairs")
     links = staged(_verified(pairs, sets, num, den), "links")
     found = connected(links)
     for turn in range(1, STAR_ROUNDS + 1):

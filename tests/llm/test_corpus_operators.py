@@ -8,10 +8,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from orderlake.llm import jaccard, katz, shards, suffixes, topk
+from orderlake.llm.common import unpack
 
 
 def _documents(seed=5, n=240):
@@ -285,3 +287,29 @@ def test_pipeline_equals_plain_references(spark, tmp_path):
            for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     ids = {d: reference.encode(t, add_special_tokens=False).ids for d, t in kept}
     assert got == {d: (t, len(t), ids[d], len(ids[d]), "en", "web") for d, t in kept}
+
+
+def test_more_buckets_do_not_send_pieces_again():
+    """A set sends each of its pieces once, and no sketch, however many buckets its band is cut into."""
+    rnd = random.Random(3)
+    texts = [" ".join(str(rnd.randint(0, 10 ** 6)) for _ in range(300)) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    bands = jaccard.Bands(80, 100, 400)
+    family = int(bands.band(np.array([296]))[0])
+
+    def sent(buckets):
+        out = list(jaccard._send(bands, {family: (0, buckets)}, 5)([batch]))
+        assert {b for r in out for b in r.column("bucket").to_pylist()} <= set(range(buckets))
+        payloads = [p for r in out for p in r.column("payload").to_pylist()]
+        return sum(map(len, payloads)), sum(len(unpack(p)[2]) for p in payloads)
+
+    (few, pieces_few), (many, pieces_many) = sent(2), sent(64)
+    assert pieces_few == pieces_many <= 200 * bands.pieces[family]
+    assert many < 2 * few
+
+
+def test_groups_of_two_buckets_become_one():
+    names = np.array([1, 5, 9, 1, 5, 2, 9, 1, 5, 9], np.int64)
+    kept, size, _ = jaccard._distinct_groups(names, np.array([0, 3, 5, 7]))
+    assert kept.tolist() == [0, 1, 2] and size.tolist() == [3, 2, 2, 3]
+    assert names[jaccard._members_of(np.array([0, 5]), np.array([3, 2]))].tolist() == [1, 5, 9, 2, 9]
