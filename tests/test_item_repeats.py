@@ -100,3 +100,22 @@ def test_gold_stores_the_columns_it_reads(spark, folder, tables):
     assert _rows(narrow) == _rows(whole.select(*narrow.columns))
     assert _rows(L.silver(spark, folder, "items")) == _rows(whole)
     assert whole.where(F.col("order_id") == "2").count() == 3  # two tags of line 5, line 4; each from two documents
+
+
+def test_prepared_inputs_are_shuffled_once_and_stored_with_what_is_read(spark):
+    from orderlake.plans import summary
+    rows = spark.createDataFrame([("1", 5, "x"), ("1", 5, "x"), ("1", 5, "y"), (None, 5, "x"), (None, 5, "x")],
+                                 "order_id STRING, price INT, carrier STRING")
+    made = summary.prepare_inputs({"shipping_data": rows})["shipping_data"]
+    assert made.columns == ["order_id", "price"]
+    assert sorted(made.collect(), key=str) == sorted([(None, 5), ("1", 5), ("1", 5)], key=str)
+
+
+def test_a_first_load_compares_nothing(spark, tmp_path, monkeypatch):
+    from orderlake.sources import upsert
+    monkeypatch.setattr(upsert, "compare", None)
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b")], "k INT, v STRING")
+    upsert.save_with_merge(rows, f"{tmp_path}/t", "first_loads", "t", None, replace_by=["k"], changes=True)
+    changes = upsert.read_changes(spark, f"{tmp_path}/t").select("k", "v", "change_kind", "change_sign").collect()
+    assert sorted((r.k or 0, r.v) for r in changes) == [(0, "b"), (1, "a"), (1, "a")]
+    assert {(r.change_kind, r.change_sign) for r in changes} == {("inserted", 1)}
